@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.functions.text import char_wb_ngrams
+from quarry.session import cut_lineage
 
 EPS = 1e-9
 
@@ -107,25 +108,32 @@ def tfidf_match(left: DataFrame, right: DataFrame, left_text: str, right_text: s
 
 
 def top_k_texts(lpost: DataFrame, rpost: DataFrame, k: int,
-                schedule: Sequence[float] = (0.6, 0.3, 0.1, 0.0)) -> DataFrame:
+                schedule: Sequence[float] = (0.5, 0.2, 0.0)) -> DataFrame:
     """(ltext, rtext, score) for every left text: all right texts with score >= t
     for the first t in ``schedule`` at which the left text has at least ``k`` of
     them (the last step, t = 0, keeps every right text that shares a gram).
-    Texts that never reach k keep what they found."""
-    remaining = lpost.select("text").distinct()
-    found = None
+    Texts that never reach k keep what they found.
+
+    Each round's result is checkpointed into the shared checkpoint folder, so a
+    round's plan never re-runs the previous rounds and a lost executor
+    recomputes from durable data."""
+    remaining = cut_lineage(lpost.select("text").distinct())
+    found = []
     for i, t in enumerate(schedule):
         lp = lpost.join(remaining, "text", "left_semi")
         pairs = threshold_pairs(lp, rpost, t) if t > 0 else _share_any(lp, rpost)
-        if i < len(schedule) - 1:
-            counts = pairs.groupBy("ltext").agg(F.count(F.lit(1)).alias("_c"))
-            done = counts.where(F.col("_c") >= k).select("ltext")
-            keep = pairs.join(done, "ltext", "left_semi")
-            remaining = remaining.join(done.withColumnRenamed("ltext", "text"), "text", "left_anti")
-        else:
-            keep = pairs
-        found = keep if found is None else found.unionByName(keep)
-    return found
+        if i == len(schedule) - 1:
+            found.append(pairs)
+            break
+        counted = cut_lineage(pairs.withColumn(
+            "_c", F.count(F.lit(1)).over(Window.partitionBy("ltext"))))
+        found.append(counted.where(F.col("_c") >= k).drop("_c"))
+        done = counted.where(F.col("_c") >= k).select(F.col("ltext").alias("text")).distinct()
+        remaining = cut_lineage(remaining.join(done, "text", "left_anti"))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def _share_any(lpost: DataFrame, rpost: DataFrame) -> DataFrame:
@@ -143,6 +151,7 @@ def shortlist_rerank(left: DataFrame, right: DataFrame, left_id: str, right_id:
     score 0), then the best dense cosine among them; flag = best >= threshold.
     Output: left_id, rerank_score (best dense cosine), rerank_flag."""
     lpost, rpost = tfidf_postings(left, right, left_text, right_text)
+    lpost, rpost = cut_lineage(lpost), cut_lineage(rpost)
     text_pairs = top_k_texts(lpost, rpost, k)
     # a right text can stand for many rows: only its k smallest ids can enter a top-k
     rk = (right.select(F.col(right_text).alias("rtext"), F.col(right_id).alias("_rid"))

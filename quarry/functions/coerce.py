@@ -23,16 +23,19 @@ NA_TOKENS = [
 # Plain decimal / scientific notation only: rejects '1,234', '0x10', '1d', 'inf'.
 NUMERIC_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
-# Accepted date layouts, tried in order.
-DATE_FORMATS = [
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy",
-    "M/d/yy",
-    "yyyyMMdd",
+# Accepted date layouts (T13) as (shape, pattern). The shape picks
+# exactly one pattern per value, so a row is parsed once (a failed parse attempt
+# is costly); an impossible date in the right shape still becomes NULL.
+DATE_LAYOUTS = [
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy-M-d H:mm:ss"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}:\d{2}$", "yyyy-M-d'T'H:mm:ss"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
+    (r"^\d{1,2}/\d{1,2}/\d{2}$", "M/d/yy"),
+    (r"^\d{8}$", "yyyyMMdd"),
 ]
+DATE_FORMATS = [fmt for _, fmt in DATE_LAYOUTS]
 
 
 def _c(c) -> Column:
@@ -64,13 +67,17 @@ def to_long_id(c) -> Column:
     return F.when((x.isNotNull()) & (x == F.floor(x)), x.try_cast("long"))
 
 
-def to_date_lenient(c, formats: Iterable[str] = DATE_FORMATS) -> Column:
-    """the first format that parses wins; unparsable -> NULL. Dates and
-    timestamps pass through."""
+def to_date_lenient(c, layouts=DATE_LAYOUTS) -> Column:
+    """text -> DATE using the first layout whose shape matches; anything else
+    (blank, NA token, unknown layout, impossible date) -> NULL. Values that already
+    are dates or timestamps are returned as dates."""
     col = _c(c)
     s = na_to_null(col.cast("string"))
-    parsed = [F.try_to_timestamp(s, F.lit(fmt)) for fmt in formats]
-    return F.coalesce(*parsed).cast("date")
+    out = None
+    for shape, fmt in layouts:
+        parsed = F.try_to_timestamp(s, F.lit(fmt)).cast("date")
+        out = F.when(s.rlike(shape), parsed) if out is None else out.when(s.rlike(shape), parsed)
+    return out
 
 
 def date_of(c) -> Column:

@@ -107,16 +107,16 @@ def tfidf_match(left: DataFrame, right: DataFrame, left_text: str, right_text: s
     return out.withColumn(flag_col, F.when(F.col(score_col) >= F.lit(threshold - EPS), 1).otherwise(0))
 
 
-def top_k_texts(lpost: DataFrame, rpost: DataFrame, k: int,
+def top_k_texts(lpost: DataFrame, rpost: DataFrame, k: int, rmult: DataFrame | None = None,
                 schedule: Sequence[float] = (0.5, 0.2, 0.0)) -> DataFrame:
     """(ltext, rtext, score) for every left text: all right texts with score >= t
-    for the first t in ``schedule`` at which the left text has at least ``k`` of
-    them (the last step, t = 0, keeps every right text that shares a gram).
-    Texts that never reach k keep what they found.
+    for the first t in ``schedule`` at which the found right texts stand for at
+    least ``k`` right rows (``rmult``: text -> rows; 1 each when absent). The last
+    step, t = 0, keeps every right text that shares a gram.
 
     Each round's result is checkpointed into the shared checkpoint folder, so a
     round's plan never re-runs the previous rounds and a lost executor
-    recomputes from durable data."""
+    recomputes from durable data. Rounds stop once no left text is left."""
     remaining = cut_lineage(lpost.select("text").distinct())
     found = []
     for i, t in enumerate(schedule):
@@ -125,11 +125,17 @@ def top_k_texts(lpost: DataFrame, rpost: DataFrame, k: int,
         if i == len(schedule) - 1:
             found.append(pairs)
             break
+        if rmult is not None:
+            pairs = pairs.join(rmult.select(F.col("text").alias("rtext"), "mult"), "rtext")
+        else:
+            pairs = pairs.withColumn("mult", F.lit(1))
         counted = cut_lineage(pairs.withColumn(
-            "_c", F.count(F.lit(1)).over(Window.partitionBy("ltext"))))
-        found.append(counted.where(F.col("_c") >= k).drop("_c"))
+            "_c", F.sum(F.least(F.col("mult"), F.lit(k))).over(Window.partitionBy("ltext"))))
+        found.append(counted.where(F.col("_c") >= k).drop("_c", "mult"))
         done = counted.where(F.col("_c") >= k).select(F.col("ltext").alias("text")).distinct()
         remaining = cut_lineage(remaining.join(done, "text", "left_anti"))
+        if remaining.isEmpty():
+            break
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
@@ -152,7 +158,7 @@ def shortlist_rerank(left: DataFrame, right: DataFrame, left_id: str, right_id:
     Output: left_id, rerank_score (best dense cosine), rerank_flag."""
     lpost, rpost = tfidf_postings(left, right, left_text, right_text)
     lpost, rpost = cut_lineage(lpost), cut_lineage(rpost)
-    text_pairs = top_k_texts(lpost, rpost, k)
+    text_pairs = top_k_texts(lpost, rpost, k, _distinct_texts(right, right_text))
     # a right text can stand for many rows: only its k smallest ids can enter a top-k
     rk = (right.select(F.col(right_text).alias("rtext"), F.col(right_id).alias("_rid"))
           .withColumn("_r", F.row_number().over(Window.partitionBy("rtext").orderBy("_rid")))

@@ -63,16 +63,17 @@ def box_stats(df: DataFrame, col: str) -> DataFrame:
     q = q.select("n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    lo = F.col("q1") - 1.5 * F.col("iqr")
-    hi = F.col("q3") + 1.5 * F.col("iqr")
-    # the bounds are a one-row frame: broadcast them to every task
-    j = (df.select(F.col(col).alias("_x"), F.lit(1).alias("_one"))
-         .join(F.broadcast(q.withColumn("_one", F.lit(1))), "_one"))
-    w = j.groupBy("n", "q1", "median", "q3", "iqr").agg(
-        F.min(F.when(F.col("_x") >= lo, F.col("_x"))).alias("whisker_low"),
-        F.max(F.when(F.col("_x") <= hi, F.col("_x"))).alias("whisker_high"),
-        F.count_if((F.col("_x") < lo) | (F.col("_x") > hi)).alias("outliers"))
-    return w
+    # the quartiles are one row: pass them as a scalar subquery (no join)
+    bounds = q.select(F.struct("*").alias("b")).scalar()
+    lo = bounds["q1"] - 1.5 * bounds["iqr"]
+    hi = bounds["q3"] + 1.5 * bounds["iqr"]
+    x = F.col(col)
+    w = df.agg(
+        F.min(F.when(x >= lo, x)).alias("whisker_low"),
+        F.max(F.when(x <= hi, x)).alias("whisker_high"),
+        F.count_if((x < lo) | (x > hi)).alias("outliers"))
+    return w.select(bounds["n"].alias("n"), bounds["q1"].alias("q1"), bounds["median"].alias("median"),
+                    bounds["q3"].alias("q3"), bounds["iqr"].alias("iqr"), "whisker_low", "whisker_high", "outliers")
 
 
 def manifest(frames: Mapping[str, DataFrame], snapshot: str | None = None) -> DataFrame:

@@ -62,10 +62,9 @@ def tfidf_postings(left: DataFrame, right: DataFrame, left_text: str, right_text
     grams = (docs.select("side", "text", "mult", F.explode(char_wb_ngrams(F.col("text"), n_min, n_max)).alias("gram"))
              .groupBy("side", "text", "gram").agg(F.count(F.lit(1)).alias("tf"), F.first("mult").alias("mult")))
     dfreq = grams.groupBy("gram").agg(F.sum("mult").alias("df"))
-    # one-row frame (the corpus size): broadcast, joined on a constant key
-    idf = (dfreq.withColumn("_one", F.lit(1))
-           .join(F.broadcast(n_docs.withColumn("_one", F.lit(1))), "_one")
-           .select("gram", "df", (F.log((1 + F.col("_n")) / (1 + F.col("df"))) + 1).alias("idf")))
+    # the corpus size is one value: a scalar subquery, not a join
+    n = n_docs.scalar()
+    idf = dfreq.select("gram", "df", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
     w = grams.join(idf, "gram").withColumn("w", F.col("tf") * F.col("idf"))
     norm = w.groupBy("side", "text").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
     post = (w.join(norm, ["side", "text"])
@@ -167,10 +166,9 @@ def shortlist_rerank(left: DataFrame, right: DataFrame, left_id: str, right_id:
     scored = (lrows.join(text_pairs, "ltext").join(rk, "rtext")
               .select("_lid", "_rid", F.round("score", score_digits).alias("_s")))
     # rows with no shared gram: the k smallest right ids overall (bounded, 2k rows)
-    zero = (right.select(F.col(right_id).alias("_rid")).orderBy("_rid").limit(2 * k)
-            .withColumn("_s", F.lit(0.0)))
-    zero_pairs = (lrows.select("_lid", F.lit(1).alias("_one"))
-                  .join(F.broadcast(zero.withColumn("_one", F.lit(1))), "_one").drop("_one"))
+    zero_ids = (right.select(F.col(right_id).alias("_rid")).orderBy("_rid").limit(2 * k)
+                .agg(F.collect_list("_rid")).scalar())
+    zero_pairs = lrows.select("_lid", F.explode(zero_ids).alias("_rid"), F.lit(0.0).alias("_s"))
     allc = scored.unionByName(zero_pairs)
     allc = allc.groupBy("_lid", "_rid").agg(F.max("_s").alias("_s"))
     top = (allc.withColumn("_rn", F.row_number().over(

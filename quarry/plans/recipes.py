@@ -258,9 +258,11 @@ def q_recipe_quality(spark, sf_dir):
     diff = (t.lineitem.join(t.orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
             .select(F.datediff(_d("l_shipdate"), _d("o_orderdate")).alias("x")))
     buckets = Q.diff_buckets(F.col("x"), diff, 180).select("exact0", "within180", "beyond180")
-    one = F.lit(1).alias("_one")
-    out = (summary.select("*", one).join(dups.select("*", one), "_one").join(cov.select("*", one), "_one")
-           .join(buckets.select("*", one), "_one").drop("_one"))
+    # every part is one row: attach them as scalar subqueries (no joins)
+    parts = [dups, cov, buckets]
+    structs = [p.select(F.struct("*").alias("s")).scalar() for p in parts]
+    extra = [st[c].alias(c) for p, st in zip(parts, structs) for c in p.columns]
+    out = summary.select("*", *extra)
     return out.select("rows", "distinct_ids", "min_year", "max_year", "null_ids", "flagged_rows", "flagged_ids",
                       "dups", "distinct_keys", "matched_keys", r4("coverage").alias("coverage"),
                       "exact0", "within180", "beyond180")

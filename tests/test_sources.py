@@ -94,3 +94,18 @@ def test_sinks_round_trip(spark, tmpdir_path):
     assert '"s":null' in line and "0.123456789" in line
     m = K.write_snapshot({"a": df, "b": df.union(df)}, os.path.join(tmpdir_path, "snap"), "20260101")
     assert sorted((r.table, r.rows) for r in m.collect()) == [("a", 1), ("b", 2)]
+
+
+def test_incremental_landing(spark, tmpdir_path):
+    from quarry.streaming.landing import ingest_new_files
+    land = os.path.join(tmpdir_path, "land")
+    stage = os.path.join(tmpdir_path, "stage")
+    _write(os.path.join(land, "cost_2020.csv"), "Provider CCN,Beds\n1,10\n2,NA\n")
+    args = dict(raw_columns=["Provider CCN", "Beds"], schema={"CCN": "long", "Beds": "double"},
+                renames={"Provider CCN": "CCN"}, name=f"landing-{os.path.basename(tmpdir_path)}")
+    ingest_new_files(spark, land, stage, **args)
+    assert spark.read.parquet(stage).count() == 2
+    _write(os.path.join(land, "cost_2021.csv"), "Provider CCN,Beds\n3,7\n")
+    ingest_new_files(spark, land, stage, **args)
+    got = sorted((r.CCN, r.Beds, r.Year) for r in spark.read.parquet(stage).collect())
+    assert got == [(1, 10.0, 2020), (2, None, 2020), (3, 7.0, 2021)]

@@ -52,18 +52,23 @@ def _distinct_texts(df: DataFrame, text_col: str) -> DataFrame:
     return df.groupBy(F.col(text_col).alias("text")).agg(F.count(F.lit(1)).alias("mult"))
 
 
-def tfidf_postings(left: DataFrame, right: DataFrame, left_text: str, right_text: str,
-                   n_min: int = 3, n_max: int = 4) -> tuple[DataFrame, DataFrame]:
-    """Normalised postings for both sides: (text, gram, w, df). Texts are distinct
-    per side; the idf counts every input row of both sides."""
+def tfidf_docs(left: DataFrame, right: DataFrame, left_text: str, right_text: str) -> DataFrame:
+    """Distinct texts per side with row multiplicity and a compact numeric id
+    (side, text, mult, tid). Checkpointed so the ids are fixed: every later join
+    and shuffle moves 8-byte ids instead of the texts."""
     docs = (_distinct_texts(left, left_text).withColumn("side", F.lit("L"))
             .unionByName(_distinct_texts(right, right_text).withColumn("side", F.lit("R"))))
-    n_docs = docs.agg(F.sum("mult").alias("_n"))
-    grams = (docs.select("side", "text", "mult", F.explode(char_wb_ngrams(F.col("text"), n_min, n_max)).alias("gram"))
+    return cut_lineage(docs.withColumn("tid", F.monotonically_increasing_id()))
+
+
+def tfidf_postings(docs: DataFrame, n_min: int = 3, n_max: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Normalised postings for both sides: (text, gram, w, df) where ``text`` is the
+    text id from ``tfidf_docs``. The idf counts every input row of both sides."""
+    n = docs.agg(F.sum("mult")).scalar()  # one value: a scalar subquery, not a join
+    grams = (docs.select("side", F.col("tid").alias("text"), "mult",
+                         F.explode(char_wb_ngrams(F.col("text"), n_min, n_max)).alias("gram"))
              .groupBy("side", "text", "gram").agg(F.count(F.lit(1)).alias("tf"), F.first("mult").alias("mult")))
     dfreq = grams.groupBy("gram").agg(F.sum("mult").alias("df"))
-    # the corpus size is one value: a scalar subquery, not a join
-    n = n_docs.scalar()
     idf = dfreq.select("gram", "df", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
     w = grams.join(idf, "gram").withColumn("w", F.col("tf") * F.col("idf"))
     norm = w.groupBy("side", "text").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
@@ -99,10 +104,13 @@ def tfidf_match(left: DataFrame, right: DataFrame, left_text: str, right_text: s
                 flag_col: str = "match_flag") -> DataFrame:
     """For every left row, the best cosine against all right rows if it reaches
     ``threshold`` (else NULL) and a 0/1 flag (score >= threshold, inclusive)."""
-    lpost, rpost = tfidf_postings(left, right, left_text, right_text)
+    docs = tfidf_docs(left, right, left_text, right_text)
+    lpost, rpost = tfidf_postings(docs)
     pairs = threshold_pairs(lpost, rpost, threshold)
     best = pairs.groupBy("ltext").agg(F.max("score").alias(score_col))
-    out = left.join(best, left[left_text].eqNullSafe(best["ltext"]), "left").drop("ltext")
+    ldocs = docs.where(F.col("side") == "L").select(F.col("text").alias("_t"), F.col("tid").alias("ltext"))
+    best = best.join(ldocs, "ltext").drop("ltext")
+    out = left.join(best, left[left_text].eqNullSafe(best["_t"]), "left").drop("_t")
     return out.withColumn(flag_col, F.when(F.col(score_col) >= F.lit(threshold - EPS), 1).otherwise(0))
 
 
@@ -155,14 +163,19 @@ def shortlist_rerank(left: DataFrame, right: DataFrame, left_id: str, right_id:
     smaller right id; right rows without any shared gram rank after all others,
     score 0), then the best dense cosine among them; flag = best >= threshold.
     Output: left_id, rerank_score (best dense cosine), rerank_flag."""
-    lpost, rpost = tfidf_postings(left, right, left_text, right_text)
+    docs = tfidf_docs(left, right, left_text, right_text)
+    lpost, rpost = tfidf_postings(docs)
     lpost, rpost = cut_lineage(lpost), cut_lineage(rpost)
-    text_pairs = top_k_texts(lpost, rpost, k, _distinct_texts(right, right_text))
+    rdocs = docs.where(F.col("side") == "R")
+    text_pairs = top_k_texts(lpost, rpost, k, rdocs.select(F.col("tid").alias("text"), "mult"))
     # a right text can stand for many rows: only its k smallest ids can enter a top-k
-    rk = (right.select(F.col(right_text).alias("rtext"), F.col(right_id).alias("_rid"))
+    rk = (right.select(F.col(right_text).alias("_t"), F.col(right_id).alias("_rid"))
+          .join(rdocs.select(F.col("text").alias("_t"), F.col("tid").alias("rtext")), "_t").drop("_t")
           .withColumn("_r", F.row_number().over(Window.partitionBy("rtext").orderBy("_rid")))
           .where(F.col("_r") <= k).drop("_r"))
-    lrows = left.select(F.col(left_id).alias("_lid"), F.col(left_text).alias("ltext"))
+    ldocs = docs.where(F.col("side") == "L").select(F.col("text").alias("_t"), F.col("tid").alias("ltext"))
+    lrows = (left.select(F.col(left_id).alias("_lid"), F.col(left_text).alias("_t"))
+             .join(ldocs, "_t").drop("_t"))
     scored = (lrows.join(text_pairs, "ltext").join(rk, "rtext")
               .select("_lid", "_rid", F.round("score", score_digits).alias("_s")))
     # rows with no shared gram: the k smallest right ids overall (bounded, 2k rows)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Noise words removed as whole words from similarity text.
@@ -54,26 +54,38 @@ def name_key(c, substrings=NOISE_SUBSTRINGS) -> Column:
 
 def char_wb_ngrams(c, n_min: int = 3, n_max: int = 4) -> Column:
     """word-bounded character n-grams. Each whitespace-separated word is padded
-    with one space on both sides; n-grams never cross words; a padded word no
-    longer than n is emitted once, whole, and larger n are skipped for it.
-    Returns array<string> with repeats (term counts)."""
+    with one space on both sides and yields, for every n, its L - n + 1 n-grams when
+    its padded length L >= n (so a word of padded length n appears once, whole, and
+    larger n are skipped for it); n-grams never cross words. Returns array<string>
+    with repeats (term counts). For large inputs prefer ``explode_char_wb``."""
     words = F.filter(F.split(_c(c), r"(?U)\s+"), lambda w: F.length(w) > 0)
     padded = F.transform(words, lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
 
     def grams_of(w: Column) -> Column:
         L = F.length(w)
-        per_n = []
-        for n in range(n_min, n_max + 1):
-            # emit when L > n, or when L == n..., or whole word once if no smaller n did
-            emit_sliding = L >= n
-            first_short = (L < n) & (L >= n_min) if n == n_min else F.lit(False)
-            sliding = F.transform(F.sequence(F.lit(1), F.greatest(L - n + 1, F.lit(1))),
-                                  lambda i: F.substring(w, i, n))
-            skip = F.lit(False)
-            for m in range(n_min, n):
-                skip = skip | (L <= m)
-            per_n.append(F.when(~skip & (emit_sliding | first_short), sliding)
-                         .otherwise(F.array().cast("array<string>")))
-        return F.flatten(F.array(*per_n))
+        per_n = [F.when(L >= n, F.transform(F.sequence(F.lit(1), L - n + 1), lambda i: F.substring(w, i, n)))
+                 .otherwise(F.array().cast("array<string>")) for n in range(n_min, n_max + 1)]
+        short = F.when(L < n_min, F.array(w)).otherwise(F.array().cast("array<string>"))
+        return F.flatten(F.array(short, *per_n))
 
     return F.flatten(F.transform(padded, grams_of))
+
+
+def explode_char_wb(df: DataFrame, key: str, text: str, n_min: int = 3, n_max: int = 4) -> DataFrame:
+    """F12 as a generator plan: (key, gram) rows, one per n-gram occurrence. Uses
+    ``explode`` + ``substring`` (code-generated) instead of nested higher-order
+    functions, which Spark evaluates row by row."""
+    words = (df.select(F.col(key), F.explode(F.split(F.col(text), r"(?U)\s+")).alias("_w"))
+             .where(F.length("_w") > 0)
+             .select(key, F.concat(F.lit(" "), F.col("_w"), F.lit(" ")).alias("_w")))
+    words = words.withColumn("_L", F.length("_w"))
+    parts = []
+    for n in range(n_min, n_max + 1):
+        parts.append(words.where(F.col("_L") >= n)
+                     .select(key, "_w", F.explode(F.sequence(F.lit(1), F.col("_L") - n + 1)).alias("_i"))
+                     .select(key, F.substring(F.col("_w"), F.col("_i"), n).alias("gram")))
+    parts.append(words.where(F.col("_L") < n_min).select(key, F.col("_w").alias("gram")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -48,13 +48,15 @@ def interval_overlap_flag(left: DataFrame, key: str, begin: str, end: str,
     per = periods.select(F.col(p_key).alias("_k"), F.col(start).cast("date").alias("_s"),
                          F.col(term).cast("date").alias("_t")).where(F.col("_k").isNotNull())
 
-    facts = per.groupBy("_k").agg(
+    # one shuffle of the periods: per (key, start) the latest term and whether an
+    # open-ended period starts there; the per-key facts come from that reduced table
+    by_start = per.groupBy("_k", "_s").agg(F.max("_t").alias("_t"),
+                                            F.max(F.col("_t").isNull()).alias("_open"))
+    facts = by_start.groupBy("_k").agg(
         F.lit(True).alias("_has"),
         F.max(F.col("_s").isNull()).alias("_null_start"),
-        F.min(F.when(F.col("_t").isNull(), F.col("_s"))).alias("_open_min_start"))
-
-    closed = (per.where(F.col("_s").isNotNull() & F.col("_t").isNotNull())
-              .groupBy("_k", "_s").agg(F.max("_t").alias("_t")))
+        F.min(F.when(F.col("_open"), F.col("_s"))).alias("_open_min_start"))
+    closed = by_start.where(F.col("_s").isNotNull() & F.col("_t").isNotNull()).select("_k", "_s", "_t")
     closed = closed.withColumn("_bk", _bucket(F.col("_s")))
     q = win.where(F.col("_b").isNotNull() & F.col("_e").isNotNull())
     events = (closed.select("_k", F.col("_s").alias("_d"), "_bk", "_t",

@@ -451,3 +451,34 @@ def q_sort_latest(spark, sf_dir):
     order = [F.col("o_orderpriority").asc_nulls_last(), F.col("o_totalprice").desc_nulls_last(),
              F.col("o_orderkey").asc()]
     return global_row_number(latest, order, "rn").select("o_orderkey", "rn")
+
+
+def q_derived_ratios(spark, sf_dir):
+    """the derived ratio set over per-order inputs mapped onto the ratio
+    spec's column names (inputs absent from the frame give NULL ratios)."""
+    t = Tables(spark, sf_dir)
+    li = t.lineitem.groupBy("l_orderkey").agg(
+        F.sum("l_extendedprice").alias("ext"),
+        F.sum(F.col("l_extendedprice") * F.col("l_tax")).alias("tax"),
+        F.sum(F.col("l_extendedprice") * F.col("l_discount")).alias("disc"),
+        F.count(F.lit(1)).alias("n"))
+    o = t.orders.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    inputs = o.select(
+        "o_orderkey",
+        F.col("o_totalprice").alias("CMS_Current_Assets"), F.col("ext").alias("CMS_Current_Liabilities"),
+        F.col("tax").alias("CMS_Total_Liabilities"), F.col("o_totalprice").alias("CMS_Total_Assets"),
+        F.col("disc").alias("CMS_Cash"), F.col("ext").alias("CMS_Operating_Expense"),
+        F.col("n").alias("Total_Discharges"), F.col("ext").alias("CMS_Total_Costs"),
+        (F.col("o_totalprice") / 1e6).alias("NASHP_Operating_Margin"))
+    r = FN.derive_ratios(inputs)
+    other = FN.implied_other_income(F.col("CMS_Current_Assets"), F.col("CMS_Current_Liabilities"),
+                                    F.col("CMS_Total_Liabilities"), F.col("CMS_Cash"))
+    return r.select("o_orderkey", *[r4(c).alias(c) for c in (
+        "Operating_Margin_Pct", "Net_Profit_Margin_Pct", "Current_Ratio", "Debt_Ratio", "Days_Cash_on_Hand",
+        "Cost_per_Discharge", "Labor_Cost_Pct")], r4(other).alias("implied_other"))
+
+
+def q_pivot_multi_index(spark, sf_dir):
+    """Counts per (year, nation) pivoted on order status, missing cells 0."""
+    on = _orders_nation(Tables(spark, sf_dir)).withColumn("y", F.year("o_orderdate"))
+    return A.pivot_counts(on, ["y", "n_name"], "o_orderstatus", ["F", "O", "P"])

@@ -493,3 +493,29 @@ SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority ASC NULLS LAST, o
                                       o_orderkey) AS rn
 FROM o
 """
+
+SQL["derived_ratios"] = """
+WITH li AS (SELECT l_orderkey, sum(l_extendedprice) AS ext, sum(l_extendedprice * l_tax) AS tax,
+                   sum(l_extendedprice * l_discount) AS disc, count(*) AS n FROM lineitem GROUP BY 1),
+ o AS (SELECT o_orderkey, o_totalprice AS ca, ext AS cl, tax AS tl, o_totalprice AS ta, disc AS cash, ext AS opex,
+              n AS dis, ext AS costs, o_totalprice / 1e6 AS om FROM orders LEFT JOIN li ON o_orderkey = l_orderkey)
+SELECT o_orderkey,
+  (floor((om * 100) * 10000 + 0.5) / 10000) AS "Operating_Margin_Pct",
+  CAST(NULL AS DOUBLE) AS "Net_Profit_Margin_Pct",
+  (floor((CASE WHEN cl <> 0 THEN ca / cl END) * 10000 + 0.5) / 10000) AS "Current_Ratio",
+  (floor((CASE WHEN ta <> 0 THEN tl / ta END) * 10000 + 0.5) / 10000) AS "Debt_Ratio",
+  (floor((CASE WHEN opex / 365.0 <> 0 THEN cash / (opex / 365.0) END) * 10000 + 0.5) / 10000) AS "Days_Cash_on_Hand",
+  (floor((CASE WHEN dis <> 0 THEN costs / dis END) * 10000 + 0.5) / 10000) AS "Cost_per_Discharge",
+  CAST(NULL AS DOUBLE) AS "Labor_Cost_Pct",
+  (floor((ca - (cl - tl) - coalesce(cash, 0.0)) * 10000 + 0.5) / 10000) AS implied_other
+FROM o
+"""
+
+SQL["pivot_multi_index"] = """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS y, n_name,
+  count(*) FILTER (WHERE o_orderstatus = 'F') AS "F",
+  count(*) FILTER (WHERE o_orderstatus = 'O') AS "O",
+  count(*) FILTER (WHERE o_orderstatus = 'P') AS "P"
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+WHERE o_orderstatus IS NOT NULL AND n_name IS NOT NULL GROUP BY 1, 2
+"""

@@ -43,7 +43,7 @@ RULES = (
     Rule("word_length", "word_chars", "n_words", 2.0, 15.0),
     Rule("symbols", "n_symbols", "n_words", 0.0, 0.10),
     Rule("stop_words", "n_stop_words", "n_words", 0.02, 1.0),
-    Rule("duplicate_lines", "n_dup_lines", "n_lines", 0.0, 0.30),
+    Rule("duplicate_lines", "n_dup_lines", "n_lines", 0.0, 0.50),
     Rule("repeated_windows", "n_repeat_words", "n_words", 0.0, 0.50),
 )
 

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import language_id, mixing, quality_rules
+from quarry.llm import language_id, mixing, packing, quality_rules
 
 MODULES = {
+    "op1_packing": packing,
     "op7_language_id": language_id,
     "op8_quality_rules": quality_rules,
     "op10_mixing": mixing,

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import language_id, mixing, packing, quality_rules
+from quarry.llm import language_id, mixing, near_dedup, packing, quality_rules
 
 MODULES = {
     "op1_packing": packing,
+    "op4_near_dedup": near_dedup,
     "op7_language_id": language_id,
     "op8_quality_rules": quality_rules,
     "op10_mixing": mixing,

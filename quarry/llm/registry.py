@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import language_id, mixing, near_dedup, packing, quality_rules
+from quarry.llm import chat_format, language_id, mixing, near_dedup, packing, quality_rules, warc
 
 MODULES = {
     "op1_packing": packing,
+    "op3_chat_format": chat_format,
     "op4_near_dedup": near_dedup,
     "op7_language_id": language_id,
     "op8_quality_rules": quality_rules,
+    "op9_warc": warc,
     "op10_mixing": mixing,
 }
 

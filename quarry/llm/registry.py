@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import chat_format, language_id, mixing, near_dedup, packing, quality_rules, warc
+from quarry.llm import chat_format, language_id, mixing, near_dedup, neighbours, packing, quality_rules, token_counts, warc
 
 MODULES = {
     "op1_packing": packing,
     "op3_chat_format": chat_format,
     "op4_near_dedup": near_dedup,
+    "op5_neighbours": neighbours,
+    "op6_token_counts": token_counts,
     "op7_language_id": language_id,
     "op8_quality_rules": quality_rules,
     "op9_warc": warc,

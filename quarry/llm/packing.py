@@ -19,6 +19,7 @@ import functools
 import random
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -39,8 +40,9 @@ EPOCHS = 2
 CHILDREN = 12
 #: Bins filled below this share are packed again in the next level.
 WELL_FILLED = 0.98
-#: Word forms that a worker remembers.
+#: Entries that each of a worker's two memories holds, and the longest string remembered.
 CACHE = 400_000
+LONG = 40
 
 
 # ---------------------------------------------------------------- tokens
@@ -54,29 +56,56 @@ def _tokenizer(path: str):
     return t
 
 
-_known: dict[str, dict[str, bytes]] = {}
+#: Fixed value: the tokenizer's own pattern, as far as it matters for printable ASCII in lower case.
+ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
-def encode(path: str, texts: list[str | None]) -> list[bytes]:
-    """The ids of each text as little-endian unsigned 32-bit numbers.
+class Memory(dict):
+    """Results of a function of a string, at most ``CACHE`` of them, of strings up to ``LONG``."""
 
-    The tokenizer drops white space and never joins across it, so ids are remembered for each
-    run of other characters. The separators that Python knows and the tokenizer does not
-    (``\\x1c`` to ``\\x1f``) send a text through the tokenizer as a whole."""
-    tokenizer, known = _tokenizer(path), _known.setdefault(path, {})
-    blob = lambda e: np.array(e.ids, "<u4").tobytes()
-    split = [None if re.search("[\x1c-\x1f]", t or "") else (t or "").split() for t in texts]
-    new = list(set().union(*[s for s in split if s]) - known.keys())
-    if len(known) + len(new) > CACHE:
-        known.clear()
-        new = list(set().union(*[s for s in split if s]))
-    own = {}
-    for at in range(0, len(new), 4096):
-        part = new[at : at + 4096]
-        own.update(zip(part, map(blob, tokenizer.encode_batch(part, add_special_tokens=False))))
-    known.update((k, v) for k, v in own.items() if len(k) <= 40)
-    get = lambda w: known[w] if w in known else own[w]
-    return [blob(tokenizer.encode(t, add_special_tokens=False)) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
+    def __init__(self, function):
+        super().__init__()
+        self.function = function
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.function(key)
+        if len(self) >= CACHE:
+            self.clear()
+        if len(key) <= LONG:
+            self[key] = found
+        return found
+
+
+class Encoder:
+    """Ids of texts, as little-endian unsigned 32-bit numbers, with what was met remembered.
+
+    The tokenizer drops white space and joins nothing across it, and its model sees one
+    pre-token at a time, so ids are remembered for runs without white space and, below, for
+    pre-tokens."""
+
+    def __init__(self, path: str):
+        self.tokenizer = _tokenizer(path)
+        tokenize = self.tokenizer.model.tokenize
+        self.words = Memory(lambda word: array("I", [t.id for t in tokenize(word)]).tobytes())
+        self.runs = Memory(self._run)
+
+    def _run(self, run: str) -> bytes:
+        if run.isascii() and run.isprintable():
+            parts = ASCII.findall(run.lower())
+        else:
+            parts = [x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(run))]
+        return b"".join(map(self.words.__getitem__, parts))
+
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if SEPARATORS.search(text):  # Python splits there, the tokenizer does not
+            return self._run(text)
+        return b"".join(map(self.runs.__getitem__, text.split()))
+
+
+SEPARATORS = re.compile("[\x1c-\x1f]")
+encoder = functools.cache(Encoder)
 
 
 def _pieces(path: str, length: int, end: int, with_ids: bool):
@@ -88,8 +117,8 @@ def _pieces(path: str, length: int, end: int, with_ids: bool):
         for batch in batches:
             rows = []
             for at in range(0, len(batch), 64):
-                for ids in encode(path, batch.slice(at, 64).to_pylist()):
-                    ids += tail
+                for text in batch.slice(at, 64).to_pylist():
+                    ids = encoder(path).encode(text) + tail
                     row = []
                     for k, i in enumerate(range(0, len(ids), 4 * length)):
                         part = ids[i : i + 4 * length]

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import chat_format, language_id, mixing, near_dedup, neighbours, packing, quality_rules, token_counts, warc
+from quarry.llm import chat_format, language_id, license_scan, mixing, near_dedup, neighbours, packing, quality_rules, token_counts, warc
 
 MODULES = {
     "op1_packing": packing,
+    "op2_license_scan": license_scan,
     "op3_chat_format": chat_format,
     "op4_near_dedup": near_dedup,
     "op5_neighbours": neighbours,

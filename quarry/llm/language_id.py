@@ -62,19 +62,17 @@ def features(text: str, bits: int = BITS) -> Iterator[np.ndarray]:
 
     Runs of other characters count as one blank, with one before and after the text."""
     last = np.array([32], np.uint32)
-    found = False
     for at in range(0, len(text), CHUNK):
         points = np.frombuffer(text[at : at + CHUNK].encode("utf-32-le", "replace"), np.uint32)
-        x = np.concatenate([last, _letters()[points], np.array([32] if at + CHUNK >= len(text) else [], np.uint32)])
+        end = np.array([32] if at + CHUNK >= len(text) else [], np.uint32)
+        x = np.concatenate([last, _letters()[points], end])
         x = x[np.concatenate([[True], (x[1:] != 32) | (x[:-1] != 32)])]
-        if len(x) < 2:
-            continue
-        found = found or bool((x != 32).any())
-        one = x * np.uint32(0x9E3779B1)
-        two = (one[:-1] ^ (x[1:] + np.uint32(0x7F4A7C15))) * np.uint32(0x85EBCA6B)
-        three = (two[:-1] ^ (x[2:] + np.uint32(0x165667B1))) * np.uint32(0xC2B2AE35)
-        if found:
-            yield np.concatenate([(one[1:-1] if x[-1] == 32 else one[1:]), two, three]) >> np.uint32(32 - bits)
+        seen = len(last)  # the last two of the chunk before, whose own n-grams are out
+        if len(x) > seen:
+            one = x * np.uint32(0x9E3779B1)
+            two = (one[:-1] ^ (x[1:] + np.uint32(0x7F4A7C15))) * np.uint32(0x85EBCA6B)
+            three = (two[:-1] ^ (x[2:] + np.uint32(0x165667B1))) * np.uint32(0xC2B2AE35)
+            yield np.concatenate([one[seen:], two[seen - 1 :], three[max(seen - 2, 0) :]]) >> np.uint32(32 - bits)
         last = x[-2:]
 
 

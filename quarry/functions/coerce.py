@@ -63,8 +63,11 @@ def to_number(c) -> Column:
 
 def to_long_id(c) -> Column:
     """Integer id from text: '12', '12.0', ' 12 ' -> 12; overflow/garbage -> NULL."""
+    s = F.trim(_c(c).cast("string"))
     x = to_number(c)
-    return F.when((x.isNotNull()) & (x == F.floor(x)), x.try_cast("long"))
+    # plain digits go straight to a long: a double holds only 53 bits of them
+    whole = F.when((x.isNotNull()) & (x == F.floor(x)), x.try_cast("long"))
+    return F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("long")).otherwise(whole)
 
 
 def to_date_lenient(c, layouts=DATE_LAYOUTS) -> Column:
@@ -121,7 +124,7 @@ def clean_zip(c) -> Column:
 def id_suffix_between(c, lo: int, hi: int, start: int = 3) -> Column:
     """characters from position ``start`` (1-based) read as a number in [lo, hi];
     NULL or non-numeric -> false."""
-    s = F.substring(_c(c).cast("string"), start, 1 << 20)
+    s = F.substr(_c(c).cast("string"), F.lit(start))
     n = F.when(s.rlike(NUMERIC_PATTERN), s.try_cast("double"))
     return F.coalesce(n.between(lo, hi), F.lit(False))
 

@@ -64,12 +64,6 @@ def year_span(c, prefix: str = "") -> list[Column]:
             F.max(_c(c)).alias(f"{prefix}max")]
 
 
-def median(c, approx: bool = False, accuracy: int = 10000) -> Column:
-    """Exact interpolated median (pandas/numpy semantics) or an approximate one."""
-    x = nan_to_null(c)
-    return F.percentile_approx(x, 0.5, accuracy) if approx else F.median(x)
-
-
 def count_where(cond: Column) -> Column:
     """Rows where the condition is true (NULL counts as false)."""
     return F.count_if(F.coalesce(cond, F.lit(False)))
@@ -101,10 +95,14 @@ def any_flag(c) -> Column:
 def pivot_wide(long: DataFrame, index, column: str, value: str, values: Sequence,
                agg: str = "first") -> DataFrame:
     """Long -> wide with explicit pivot values (no extra distinct job).
-    The input is expected to hold one row per cell (pre-aggregated)."""
+    With ``first`` the input must hold one row per cell: a second one is an error."""
     index = _keys(index)
     fn = {"first": F.first, "max": F.max, "sum": F.sum, "count": F.count}[agg]
-    return long.groupBy(*index).pivot(column, list(values)).agg(fn(F.col(value)))
+    cell = fn(F.col(value))
+    if agg == "first":
+        error = F.raise_error(F.lit(f"duplicate cell: more than one {value} for ({', '.join(index)}, {column})"))
+        cell = F.when(F.count(F.lit(1)) > 1, error.cast(long.schema[value].dataType)).otherwise(cell)
+    return long.groupBy(*index).pivot(column, list(values)).agg(cell)
 
 
 def assert_unique_cells(long: DataFrame, index, column: str) -> DataFrame:

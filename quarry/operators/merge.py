@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.finance import provenance
-from quarry.operators.dedupe import latest_per_key
+from quarry.operators.dedupe import keep_first, latest_per_key
 
 
 def _keys(keys) -> list[str]:
@@ -77,14 +77,16 @@ def lookup_left(left: DataFrame, right: DataFrame, exact: Sequence[tuple[str, st
 
 def replace_from_latest(df: DataFrame, lookup: DataFrame, key: str, value: str,
                         date: str | None = None, tiebreak: Sequence[Column] = ()) -> DataFrame:
-    """Take the newest ``value`` per key from ``lookup`` (first row when there is
-    no date column) and replace ``value`` in ``df`` with it (left join; missing ->
+    """Take the newest ``value`` per key from ``lookup`` (the first by ``tiebreak`` when
+    there is no date column, which then must be given) and replace ``value`` in ``df`` with it (left join; missing ->
     NULL). The lookup is reduced to one row per key before the join, so the join
     never fans out."""
     if date is not None and date in lookup.columns:
         lk = latest_per_key(lookup, key, date, tiebreak)
     else:
-        lk = lookup.dropDuplicates([key])
+        if not tiebreak:
+            raise ValueError("a lookup without a date column needs tiebreak columns that order its rows")
+        lk = keep_first(lookup, key, list(tiebreak))
     lk = lk.select(F.col(key), F.col(value).alias("_new_value"))
     base = df.drop(value) if value in df.columns else df
     return base.join(lk, key, "left").withColumnRenamed("_new_value", value)
@@ -94,13 +96,13 @@ def fill_from_right(left: DataFrame, right: DataFrame, on: Sequence[tuple[Column
                     fill: Sequence[str], suffix: str = "_r") -> DataFrame:
     """Left join on computed keys (e.g. normalised name + state); for each
     column in ``fill`` the right value fills the left's NULLs (``combine_first``).
-    Right rows with a NULL key never match."""
+    NULL keys match NULL keys (T2)."""
     lk = left.withColumns({f"_lk{i}": lc for i, (lc, _) in enumerate(on)})
     rsel = {f"_rk{i}": rc for i, (_, rc) in enumerate(on)}
     rk = right.withColumns(rsel).select(*rsel.keys(), *[F.col(c).alias(c + suffix) for c in fill])
     cond = None
     for i in range(len(on)):
-        c = F.col(f"_lk{i}") == F.col(f"_rk{i}")
+        c = F.col(f"_lk{i}").eqNullSafe(F.col(f"_rk{i}"))
         cond = c if cond is None else cond & c
     j = lk.join(rk, cond, "left")
     j = j.withColumns({c: F.coalesce(F.col(c), F.col(c + suffix)) for c in fill})

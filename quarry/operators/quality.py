@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.quantiles import group_quantiles
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -57,11 +59,12 @@ def diff_buckets(diff: Column, df: DataFrame, near: int = 180) -> DataFrame:
 
 def box_stats(df: DataFrame, col: str) -> DataFrame:
     """Quartiles (interpolated), IQR, whiskers (most extreme values inside
-    1.5*IQR) and outlier count. Two aggregates: quartiles, then whiskers."""
-    q = df.agg(F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
-               F.count(F.col(col)).alias("n"))
-    q = q.select("n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3"))
+    1.5*IQR) and outlier count. Quartiles come from ranked value counts, so no task
+    holds the whole column."""
+    found = group_quantiles(df, [], {col: col}, [0.25, 0.5, 0.75])
+    q = found.agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n) for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+    n = df.agg(F.count(F.col(col)).alias("n"))
+    q = q.select(n.select("n").scalar().alias("n"), "q1", "median", "q3")
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     # the quartiles are one row: pass them as a scalar subquery (no join)
     bounds = q.select(F.struct("*").alias("b")).scalar()

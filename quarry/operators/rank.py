@@ -3,7 +3,8 @@
 pctl(v) = (rows below v + (rows equal to v + 1) / 2) / non-NULL rows * 100.
 
 Plan shape: a histogram of distinct values (hash aggregate with map-side combine),
-range-partitioned by value; each range partition computes its own running count
+cut into ranges by value once (checkpointed, so that both readers of the ranges agree
+on them); each range partition computes its own running count
 and a tiny table of partition totals (one row per partition — bounded by the
 partition count, so it is safe to broadcast) supplies the offset. No window ever
 runs over all rows in one task. The histogram is joined back on the value; a hot
@@ -17,17 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.functions.coerce import nan_to_null
+from quarry.operators.ordering import ranged
 
 
 def value_percentiles(df: DataFrame, col: str, partitions: int | None = None) -> DataFrame:
     """Histogram of ``col`` with the average-tie percentile per distinct value:
     (value, n_equal, pctl)."""
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = nan_to_null(col) if dict(df.dtypes)[col] in ("double", "float") else F.col(col)
     hist = (df.select(v.alias("_v")).where(F.col("_v").isNotNull())
             .groupBy("_v").agg(F.count(F.lit(1)).alias("_n")))
-    hist = hist.repartitionByRange(parts, "_v").withColumn("_pid", F.spark_partition_id())
+    hist = ranged(hist, [F.col("_v")], partitions)
     local = hist.withColumn("_cum", F.sum("_n").over(
         Window.partitionBy("_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     totals = hist.groupBy("_pid").agg(F.sum("_n").alias("_pn"))

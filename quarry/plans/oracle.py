@@ -186,9 +186,9 @@ FROM lsrc LEFT JOIN best ON lsrc.t = best.lt
 """
 
 SQL["embed_rerank"] = f"""
-WITH e AS (SELECT vec_id, embedding, {_sim_text("'group ' || CAST(label AS VARCHAR)")} AS t FROM embeddings),
- lsrc AS (SELECT * FROM e WHERE vec_id < 100),
- rsrc AS (SELECT * FROM e WHERE vec_id >= 100),
+WITH e AS (SELECT vec_id, embedding, {_sim_text("'group ' || CAST(label AS VARCHAR) || ' part ' || CAST(vec_id % 7 AS VARCHAR)")} AS t FROM embeddings),
+ lsrc AS (SELECT * FROM e WHERE vec_id % 5 = 0),
+ rsrc AS (SELECT * FROM e WHERE vec_id % 5 <> 0),
  {_tfidf("lsrc", "rsrc")},
  cand AS (SELECT l.vec_id AS lid, r.vec_id AS rid, round(coalesce(p.score, 0), 9) AS s
           FROM lsrc l, rsrc r LEFT JOIN pairs p ON p.lt = l.t AND p.rt = r.t),

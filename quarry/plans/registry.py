@@ -6,45 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.plans import bindings as B
-from quarry.plans.oracle import SQL
+from quarry.plans import bindings, oracle, recipes, recipes_sql, reports, reports_sql
+
+MODULES = (bindings, recipes, reports)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-    for mod in _modules():
-        for name in dir(mod):
-            if name.startswith("q_"):
-                out[name[2:]] = getattr(mod, name)
-    return out
+    return {name[2:]: getattr(m, name) for m in MODULES for name in dir(m) if name.startswith("q_")}
 
 
 def oracle_sql() -> dict[str, str]:
-    q = queries()
-    return {k: v for k, v in _all_sql().items() if k in q}
-
-
-def _modules():
-    mods = [B]
-    try:
-        from quarry.plans import recipes
-        mods.append(recipes)
-    except ImportError:
-        pass
-    try:
-        from quarry.plans import reports
-        mods.append(reports)
-    except ImportError:
-        pass
-    return mods
-
-
-def _all_sql() -> dict[str, str]:
-    sql = dict(SQL)
-    for modname in ("recipes_sql", "reports_sql"):
-        try:
-            mod = __import__(f"quarry.plans.{modname}", fromlist=["SQL"])
-            sql.update(mod.SQL)
-        except ImportError:
-            pass
-    return sql
+    known = queries()
+    sql = oracle.SQL | recipes_sql.SQL | reports_sql.SQL
+    return {k: v for k, v in sql.items() if k in known}

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quarry.functions import coerce as C
 from quarry.functions import finance as FN
 from quarry.operators import agg as A
+from quarry.operators import quantiles as QT
 from quarry.operators import dedupe as D
 from quarry.plans.bindings import r4
 from quarry.session import Tables
@@ -52,14 +53,14 @@ def _wide(long: DataFrame, index: str, column: str, value: str, values) -> DataF
 def q_report_q1(spark, sf_dir):
     """National trend: median margin by year x type, wide."""
     p = report_panel(Tables(spark, sf_dir))
-    long = p.groupBy("Year", "FType").agg(A.median("margin").alias("m"))
+    long = QT.group_medians(p, ["Year", "FType"], {"m": "margin"})
     return _wide(long, "Year", "FType", "m", FTYPES)
 
 
 def q_report_q2(spark, sf_dir):
     """State performance: latest year, median margin per state, top/bottom 15."""
     p = A.latest_partition(report_panel(Tables(spark, sf_dir)), "Year")
-    per = p.groupBy("State").agg(A.median("margin").alias("Median_Margin"))
+    per = QT.group_medians(p, "State", {"Median_Margin": "margin"})
     tb = A.top_bottom(per, "State", "Median_Margin", n=15)
     return tb.select("section", "pos", "State", r4("Median_Margin").alias("Median_Margin"))
 
@@ -75,10 +76,9 @@ def q_report_q3(spark, sf_dir):
 def q_report_q4(spark, sf_dir):
     """Ownership comparison: segments in a list, medians + distinct entities."""
     p = report_panel(Tables(spark, sf_dir)).where(F.col("Segment").isin(*SEGMENTS3))
-    out = p.groupBy("Segment").agg(
-        A.median("margin").alias("Median_Margin"), A.median("cost").alias("Median_Cost"),
-        A.median("funding").alias("Median_Funding"), A.median(F.col("flag") * 100).alias("Median_Flag_Pct"),
-        F.countDistinct("id").alias("Entity_Count"))
+    per = p.groupBy("Segment").agg(F.countDistinct("id").alias("Entity_Count"))
+    out = QT.with_medians(per, p, "Segment", {"Median_Margin": "margin", "Median_Cost": "cost", "Median_Funding": "funding",
+                                              "Median_Flag_Pct": F.col("flag") * 100})
     return out.select("Segment", *[r4(c).alias(c) for c in ("Median_Margin", "Median_Cost", "Median_Funding",
                                                            "Median_Flag_Pct")], "Entity_Count")
 
@@ -86,22 +86,21 @@ def q_report_q4(spark, sf_dir):
 def q_report_q5(spark, sf_dir):
     """Rural/urban: median margin by year x R/U, wide."""
     p = report_panel(Tables(spark, sf_dir)).where(F.col("RU").isin("R", "U"))
-    long = p.groupBy("Year", "RU").agg(A.median("margin").alias("m"), A.median("cost").alias("c"))
+    long = QT.group_medians(p, ["Year", "RU"], {"m": "margin"})
     return _wide(long, "Year", "RU", "m", ["R", "U"])
 
 
 def q_report_q6(spark, sf_dir):
     """Mix: per year, medians of two shares."""
     p = report_panel(Tables(spark, sf_dir))
-    out = p.groupBy("Year").agg(A.median(F.col("flag") * 100).alias("Flag_Pct"),
-                                A.median(C.safe_div("funding", F.col("margin") * 1000)).alias("Funding_Share"))
+    out = QT.group_medians(p, "Year", {"Flag_Pct": F.col("flag") * 100, "Funding_Share": C.safe_div("funding", F.col("margin") * 1000)})
     return out.select("Year", r4("Flag_Pct").alias("Flag_Pct"), r4("Funding_Share").alias("Funding_Share"))
 
 
 def q_report_q7(spark, sf_dir):
     """Two-type comparison: median margin by year for two types, wide."""
     p = report_panel(Tables(spark, sf_dir)).where(F.col("FType").isin("URG", "HIGH"))
-    long = p.groupBy("Year", "FType").agg(A.median("margin").alias("m"))
+    long = QT.group_medians(p, ["Year", "FType"], {"m": "margin"})
     return _wide(long, "Year", "FType", "m", ["URG", "HIGH"])
 
 
@@ -118,9 +117,8 @@ def q_report_q8(spark, sf_dir):
 def q_report_q9(spark, sf_dir):
     """Funding: years in a range, total funding, median margin, rows with funding."""
     p = report_panel(Tables(spark, sf_dir)).where(F.col("Year").between(1996, 2000))
-    out = p.groupBy("Year").agg(A.sum_or_zero("funding").alias("Total_Funding"),
-                                A.median("margin").alias("Median_Margin"),
-                                A.count_where(F.col("funding") > 0).alias("With_Funding"))
+    per = p.groupBy("Year").agg(A.sum_or_zero("funding").alias("Total_Funding"), A.count_where(F.col("funding") > 0).alias("With_Funding"))
+    out = QT.with_medians(per, p, "Year", {"Median_Margin": "margin"})
     return out.select("Year", F.round("Total_Funding", 2).alias("Total_Funding"),
                       r4("Median_Margin").alias("Median_Margin"), "With_Funding")
 
@@ -128,5 +126,5 @@ def q_report_q9(spark, sf_dir):
 def q_report_q10(spark, sf_dir):
     """Cost trend: median cost by year for three types, wide."""
     p = report_panel(Tables(spark, sf_dir)).where(F.col("FType").isin("URG", "HIGH", "MED"))
-    long = p.groupBy("Year", "FType").agg(A.median("cost").alias("m"))
+    long = QT.group_medians(p, ["Year", "FType"], {"m": "cost"})
     return _wide(long, "Year", "FType", "m", ["URG", "HIGH", "MED"])

@@ -37,11 +37,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the platform sets it to shared storage and we only read it.
-    Only when it is unset (tests, local bench) do we create a scratch folder."""
+    On a cluster the platform sets it to shared storage and we only read it; unset, it is an
+    error there. Only local sessions (tests, bench) get a scratch folder of their own."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
+    if not current and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not current:
         current = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+logger = logging.getLogger(__name__)
+
 
 def dispatch_by_column(df: DataFrame, column: str, when_present: Callable[[DataFrame], DataFrame],
                        otherwise: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -17,7 +21,8 @@ def dispatch_by_column(df: DataFrame, column: str, when_present: Callable[[DataF
         out = first(df)
         out.schema  # forces analysis, so a bad plan fails here
         return out
-    except Exception:  # noqa: BLE001 - fallback mirrors the reference's behaviour
+    except AnalysisException as e:
+        logger.warning("the first choice for column %s does not plan, taking the other: %s", column, e)
         return second(df)
 
 

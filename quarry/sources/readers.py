@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from quarry.functions.coerce import na_to_null, to_date_lenient, to_long_id, to_number
@@ -27,12 +28,20 @@ def _coerce(col: str, kind: str):
     return na_to_null(col)
 
 
+def _missing(kind: str):
+    """A NULL of the type that a declared kind is coerced to."""
+    return F.lit(None).cast({"double": "double", "number": "double", "date": "date", "long": "bigint",
+                             "id": "bigint", "int": "int"}.get(kind, "string"))
+
+
 def read_csv_by_name(spark: SparkSession, path: str | Sequence[str], schema: Mapping[str, str],
                      keep_extra: bool = False) -> DataFrame:
     """CSV with a header, every field read as text, then selected BY NAME and
     coerced to the declared kind ('string', 'double', 'date', 'long', 'int').
     Declared columns missing from the file become typed NULLs (no positional
     binding, so files with reordered or missing columns load correctly)."""
+    if not isinstance(path, str):  # headers may differ: one read per file
+        return union_by_name([read_csv_by_name(spark, p, schema, keep_extra) for p in path])
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     have = set(raw.columns)
     cols = []
@@ -40,9 +49,7 @@ def read_csv_by_name(spark: SparkSession, path: str | Sequence[str], schema: Map
         if name in have:
             cols.append(_coerce(name, kind).alias(name))
         else:
-            target = {"double": "double", "number": "double", "date": "date", "long": "bigint",
-                      "id": "bigint", "int": "int"}.get(kind, "string")
-            cols.append(F.lit(None).cast(target).alias(name))
+            cols.append(_missing(kind).alias(name))
     extra = [F.col(c) for c in raw.columns if c not in schema] if keep_extra else []
     return raw.select(*cols, *extra)
 
@@ -58,7 +65,7 @@ def stack_yearly(spark: SparkSession, files: Mapping[int, str], schema: Mapping[
         if renames:
             raw = rename(raw, renames)
         have = set(raw.columns)
-        cols = [(_coerce(n, k) if n in have else F.lit(None).cast("string")).alias(n) for n, k in schema.items()]
+        cols = [(_coerce(n, k) if n in have else _missing(k)).alias(n) for n, k in schema.items()]
         df = raw.select(*cols).withColumn("Year", F.lit(int(year)))
         if source_flag:
             df = df.withColumn(source_flag, F.lit(1))
@@ -79,13 +86,16 @@ def latest_path(paths: Sequence[str]) -> str | None:
 
 
 def read_csv_after_preamble(spark: SparkSession, path: str, skip: int) -> DataFrame:
-    """CSV text with ``skip`` junk lines before the header, all fields as text.
+    """One CSV text file with ``skip`` junk lines before the header, all fields as text.
 
     Lines are read as text with their file and block offset; only the first block
     of each file can hold the preamble, so the row numbering window covers one
     block per file. The header line names the columns; the rest is parsed with
     ``from_csv``."""
-    lines = (spark.read.text(path)
+    text = spark.read.text(path)
+    if len(text.inputFiles()) != 1:
+        raise ValueError(f"{path} is not one file; read files one by one, their headers may differ")
+    lines = (text
              .select("value", F.col("_metadata.file_path").alias("_f"),
                      F.col("_metadata.file_block_start").alias("_blk"),
                      F.monotonically_increasing_id().alias("_id")))
@@ -94,7 +104,10 @@ def read_csv_after_preamble(spark: SparkSession, path: str, skip: int) -> DataFr
     header_line = first.where(F.col("_rn") == skip + 1).select("value").first()
     if header_line is None:
         return spark.createDataFrame([], "value string")
-    names = [h.strip() for h in header_line[0].split(",")]
+    # the header is CSV text itself: quoted names may hold commas
+    fields = ", ".join(f"`c{i}` STRING" for i in range(header_line[0].count(",") + 1))
+    head = spark.range(1).select(F.from_csv(F.lit(header_line[0]), fields).alias("h")).first().h
+    names = [h.strip() for h in head if h is not None]
     body = (first.where(F.col("_rn") > skip + 1).select("value")
             .unionByName(lines.where(F.col("_blk") > 0).select("value")))
     ddl = ", ".join(f"`c{i}` STRING" for i in range(len(names)))
@@ -102,36 +115,36 @@ def read_csv_after_preamble(spark: SparkSession, path: str, skip: int) -> DataFr
     return parsed.select(*[F.col(f"_r.c{i}").alias(n) for i, n in enumerate(names)])
 
 
+_TEXT = T.StringType()
+#: The fields of an entity and of its address.
+ENTITY = T.StructType([
+    *[T.StructField(n, _TEXT) for n in ("name", "entityType", "id340B")],
+    T.StructField("streetAddress", T.StructType([T.StructField(n, _TEXT) for n in ("addressLine1", "city", "state", "zip")])),
+    *[T.StructField(n, _TEXT) for n in ("participatingStartDate", "certifiedDecertifiedDate")],
+    T.StructField("medicaidNumbers", T.ArrayType(T.StructType([T.StructField("medicaidNumber", _TEXT)]))),
+    T.StructField("participating", T.BooleanType())])
+
+
 def flatten_entities(spark: SparkSession, path: str) -> DataFrame:
     """Nested entity JSON -> one flat row per entity. The root may be an object
     with ``coveredEntities`` or a bare array. Missing address parts become '';
-    the first medicaid number (or '') is kept."""
-    raw = spark.read.option("multiLine", True).json(path)
-    rows = raw.select(F.explode("coveredEntities").alias("e")).select("e.*") \
-        if "coveredEntities" in raw.columns else raw
-    have = set(rows.columns)
-
-    def field(name):
-        return F.col(name) if name in have else F.lit(None).cast("string")
-
-    def addr(part):
-        if "streetAddress" not in have:
-            return F.lit("")
-        sub = {f.name for f in rows.schema["streetAddress"].dataType.fields}
-        return F.coalesce(F.col(f"streetAddress.{part}").cast("string"), F.lit("")) if part in sub else F.lit("")
-
-    if "medicaidNumbers" in have:
-        med = F.coalesce(F.try_element_at(F.col("medicaidNumbers"), F.lit(1))["medicaidNumber"].cast("string"),
-                         F.lit(""))
-    else:
-        med = F.lit("")
+    the first medicaid number (or '') is kept. The schema is declared, not inferred, so
+    empty arrays and absent fields have their types."""
+    root = T.StructType([T.StructField("coveredEntities", T.ArrayType(ENTITY)), *ENTITY.fields])
+    raw = spark.read.option("multiLine", True).schema(root).json(path)
+    names = [f.name for f in ENTITY.fields]
+    # a row of a bare array is an entity itself; an object holds them in its list
+    own = F.array(F.struct(*names))
+    bare = F.greatest(*[F.col(n).isNotNull() for n in names])
+    rows = raw.select(F.explode(F.when(F.col("coveredEntities").isNotNull(), F.col("coveredEntities")).when(bare, own)).alias("e")).select("e.*")
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    number = F.coalesce(F.get(F.col("medicaidNumbers"), F.lit(0))["medicaidNumber"], F.lit(""))
     return rows.select(
-        field("name").alias("Entity Name"), field("entityType").alias("Entity Type"),
-        field("id340B").alias("340B ID"), addr("addressLine1").alias("Street Address 1"),
-        addr("city").alias("Street City"), addr("state").alias("Street State"), addr("zip").alias("Street Zip"),
-        field("participatingStartDate").alias("Start Date"),
-        field("certifiedDecertifiedDate").alias("Termination Date"),
-        med.alias("Medicaid Billing Number"), field("participating").alias("Participating"))
+        F.col("name").alias("Entity Name"), F.col("entityType").alias("Entity Type"), F.col("id340B").alias("340B ID"),
+        text("streetAddress.addressLine1").alias("Street Address 1"), text("streetAddress.city").alias("Street City"),
+        text("streetAddress.state").alias("Street State"), text("streetAddress.zip").alias("Street Zip"),
+        F.col("participatingStartDate").alias("Start Date"), F.col("certifiedDecertifiedDate").alias("Termination Date"),
+        number.alias("Medicaid Billing Number"), F.col("participating").alias("Participating"))
 
 
 def pruned_scan(spark: SparkSession, path: str, column: str, values: Sequence, columns: Sequence[str]) -> DataFrame:

@@ -25,6 +25,7 @@ def ingest_new_files(spark: SparkSession, landing_dir: str, stage_dir: str, raw_
     and stops."""
     raw_schema = T.StructType([T.StructField(c, T.StringType()) for c in raw_columns])
     stream = (spark.readStream.schema(raw_schema).option("header", True)
+              .option("enforceSchema", False)  # a header that is not raw_columns in order is an error
               .option("pathGlobFilter", "*.csv").csv(landing_dir))
     for old, new in (renames or {}).items():
         if old in raw_columns:

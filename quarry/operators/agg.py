@@ -1,8 +1,7 @@
 """Grouped aggregates, pivots, sorting and top-k.
 
 Every aggregate here is a hash aggregate with a partial (map-side) phase, so a hot
-group is pre-reduced in each task before the shuffle. Exact medians buffer the
-values of one group; offer ``approx=True`` where a group can be unbounded.
+group is pre-reduced in each task before the shuffle. Medians are in quantiles.py.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.functions.coerce import nan_to_null
+from quarry.session import cut_lineage
 
 
 def _c(c) -> Column:
@@ -129,7 +129,8 @@ def top_bottom(agg: DataFrame, key: str, value: str, n: int = 15, divider: str =
     NULL values are dropped first; with fewer than 2n groups both halves overlap.
     Output: section, pos, key, value. Each half is a bounded TakeOrderedAndProject;
     the positions are numbered over at most n rows each."""
-    ranked = agg.where(F.col(value).isNotNull()).select(key, value)
+    # both halves read the groups: compute them once
+    ranked = cut_lineage(agg.where(F.col(value).isNotNull()).select(key, value))
     key_type = agg.schema[key].dataType
     div_key = F.lit(divider) if key_type.simpleString() == "string" else F.lit(None)
     top = ranked.orderBy(F.desc(value), F.desc(key)).limit(n).withColumn("section", F.lit("top"))
@@ -155,8 +156,10 @@ def latest_value(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.max(col).alias(f"max_{col}"))
 
 
-def latest_partition(df: DataFrame, col: str) -> DataFrame:
+def latest_partition(df: DataFrame, col: str, source: DataFrame | None = None) -> DataFrame:
     """Rows whose ``col`` equals the column maximum. The maximum is a one-row
-    aggregate (a proven size bound), broadcast to the scan."""
-    mx = F.broadcast(df.agg(F.max(col).alias("_latest")))
+    aggregate (a proven size bound), broadcast to the scan. When ``df`` is a join whose
+    ``col`` comes from one table and no join drops that table's last value, pass that table
+    as ``source``: the maximum then needs no second run of the join."""
+    mx = F.broadcast((df if source is None else source).agg(F.max(col).alias("_latest")))
     return df.join(mx, F.col(col) == F.col("_latest"), "inner").drop("_latest")

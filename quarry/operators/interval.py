@@ -96,17 +96,3 @@ def interval_overlap_flag(left: DataFrame, key: str, begin: str, end: str,
     j = l.join(flags, l["_k"].eqNullSafe(flags["_k"]) & l["_b"].eqNullSafe(flags["_b"])
                & l["_e"].eqNullSafe(flags["_e"]), "left")
     return j.select(*[l[c] for c in left.columns], F.coalesce(flags[out], F.lit(0)).alias(out))
-
-
-def interval_overlap_flag_arrays(left: DataFrame, key: str, begin: str, end: str,
-                                 periods: DataFrame, p_key: str, start: str, term: str,
-                                 out: str = "flag") -> DataFrame:
-    """J6 small-list variant: periods collected per key, ``exists`` per row. Use only
-    when periods per key are known to be few (the usual enrollment list)."""
-    lists = periods.groupBy(F.col(p_key).alias("_k")).agg(
-        F.collect_list(F.struct(F.col(start).cast("date").alias("s"),
-                                F.col(term).cast("date").alias("t"))).alias("_ps"))
-    j = left.join(lists, left[key] == lists["_k"], "left")
-    b, e = F.col(begin).cast("date"), F.col(end).cast("date")
-    hit = F.exists(F.col("_ps"), lambda p: overlaps(b, e, p["s"], p["t"]))
-    return j.withColumn(out, F.coalesce(hit, F.lit(False)).cast("int")).drop("_k", "_ps")

@@ -18,12 +18,9 @@ from quarry.functions.coerce import nan_to_null
 from quarry.operators.ordering import BEFORE, THROUGH, ranged
 
 
-def group_quantiles(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column | str],
-                    probabilities: Sequence[float]) -> DataFrame:
-    """(keys, measure, p, value): the interpolated quantiles (pandas / numpy default) of each
-    measure in each group. Groups with a NULL key count; a measure without values has no row."""
-    values = [F.struct(F.lit(m).alias("measure"), nan_to_null(c).alias("value")) for m, c in measures.items()]
-    long = df.select(*keys, F.explode(F.array(*values)).alias("_x")).select(F.struct(*keys, "_x.measure").alias("_g"), F.col("_x.value").alias("_v"))
+def ranked_counts(long: DataFrame) -> DataFrame:
+    """long (_g, _v) -> one row per group and value: how many of the group are below it
+    (``_lo``), through it (``_hi``) and in all (``_total``). NULL values are left out."""
     counted = long.where(F.col("_v").isNotNull()).groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_n"))
     counted = ranged(counted, [F.col("_g"), F.col("_v")])
     run = Window.partitionBy("_pid", "_g").orderBy("_v").rowsBetween(*THROUGH)
@@ -35,9 +32,17 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], measures: Mapping[str, C
                            F.sum("_pn").over(Window.partitionBy("_g")).alias("_total"))
     ranks = counted.join(totals, (F.col("_pid") == F.col("_tp")) & (F.col("_g") == F.col("_tg")))
     through = F.col("_off") + F.col("_cum")
+    return ranks.select("_g", "_v", (through - F.col("_n")).alias("_lo"), through.alias("_hi"), "_total")
+
+
+def group_quantiles(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column | str],
+                    probabilities: Sequence[float]) -> DataFrame:
+    """(keys, measure, p, value): the interpolated quantiles (pandas / numpy default) of each
+    measure in each group. Groups with a NULL key count; a measure without values has no row."""
+    values = [F.struct(F.lit(m).alias("measure"), nan_to_null(c).alias("value")) for m, c in measures.items()]
+    long = df.select(*keys, F.explode(F.array(*values)).alias("_x")).select(F.struct(*keys, "_x.measure").alias("_g"), F.col("_x.value").alias("_v"))
     at = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
-    place = F.col("p") * (F.col("_total") - 1)
-    asked = ranks.select("_g", "_v", through.alias("_hi"), (through - F.col("_n")).alias("_lo"), "_total", at.alias("p")).withColumn("_at", place)
+    asked = ranked_counts(long).withColumn("p", at).withColumn("_at", F.col("p") * (F.col("_total") - 1))
     inside = lambda r: F.when((F.col("_lo") <= r) & (r < F.col("_hi")), F.col("_v"))
     asked = asked.withColumns({"_a": inside(F.floor("_at")), "_b": inside(F.ceil("_at"))}).where("_a IS NOT NULL OR _b IS NOT NULL")
     out = asked.groupBy("_g", "p").agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"), F.max(F.col("_at") - F.floor("_at")).alias("_w"))

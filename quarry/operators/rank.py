@@ -13,12 +13,15 @@ value is one histogram row, and AQE splits the skewed side of that join.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.functions.coerce import nan_to_null
 from quarry.operators.ordering import ranged
+from quarry.operators.quantiles import ranked_counts
 
 
 def value_percentiles(df: DataFrame, col: str, partitions: int | None = None) -> DataFrame:
@@ -47,3 +50,16 @@ def pct_rank_avg(df: DataFrame, col: str, out: str | None = None, partitions: in
     out = out or f"{col}_PCTL"
     pc = value_percentiles(df, col, partitions).select(F.col(col).alias("_pv"), F.col("pctl").alias(out))
     return df.join(pc, df[col] == pc["_pv"], "left").drop("_pv")
+
+
+def pct_rank_columns(df: DataFrame, key: str, cols: Sequence[str], suffix: str = "_PCTL") -> DataFrame:
+    """W5 for several measures of a frame with one row per ``key``: the measures are unpivoted
+    once, ranked in one histogram keyed by (measure, value), and joined back by one join."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("m"), nan_to_null(c).alias("v")) for c in cols])
+    long = df.select(key, F.explode(pairs).alias("_x")).select(key, F.struct("_x.m").alias("_g"), F.col("_x.v").alias("_v"))
+    ranks = ranked_counts(long.select("_g", "_v"))
+    pct = (F.col("_lo") + (F.col("_hi") - F.col("_lo") + 1) / 2.0) / F.col("_total") * 100.0
+    ranks = ranks.select(F.col("_g").alias("_rg"), F.col("_v").alias("_rv"), pct.alias("_pct"))
+    found = long.join(ranks, (F.col("_g") == F.col("_rg")) & (F.col("_v") == F.col("_rv")))
+    found = found.groupBy(F.col(key).alias("_key")).agg(*[F.max(F.when(F.col("_g.m") == c, F.col("_pct"))).alias(f"{c}{suffix}") for c in cols])
+    return df.join(found, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")

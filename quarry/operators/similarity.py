@@ -87,8 +87,9 @@ def _prefix(post: DataFrame, t: float) -> DataFrame:
             .where(F.col("_suffix") >= F.lit(t * t - EPS)).select("text", "gram"))
 
 
-def threshold_pairs(lpost: DataFrame, rpost: DataFrame, t: float) -> DataFrame:
-    """All (ltext, rtext, score) with cosine >= t, exactly."""
+def threshold_pairs(lpost: DataFrame, rpost: DataFrame, t: float, tolerance: float = EPS) -> DataFrame:
+    """All (ltext, rtext, score) with cosine >= t. Sums of squares are rounded, and by the
+    order of summation: ``tolerance`` below t still counts as reaching it."""
     lp = _prefix(lpost, t).withColumnRenamed("text", "ltext")
     rp = _prefix(rpost, t).withColumnRenamed("text", "rtext")
     cand = lp.join(rp, "gram").select("ltext", "rtext").distinct()
@@ -96,22 +97,23 @@ def threshold_pairs(lpost: DataFrame, rpost: DataFrame, t: float) -> DataFrame:
     rfull = rpost.select(F.col("text").alias("rtext"), "gram", F.col("w").alias("wr"))
     scored = (cand.join(lfull, "ltext").join(rfull, ["rtext", "gram"])
               .groupBy("ltext", "rtext").agg(F.sum(F.col("wl") * F.col("wr")).alias("score")))
-    return scored.where(F.col("score") >= F.lit(t - EPS))
+    return scored.where(F.col("score") >= F.lit(t - tolerance))
 
 
 def tfidf_match(left: DataFrame, right: DataFrame, left_text: str, right_text: str,
                 threshold: float = 0.40, score_col: str = "match_score",
-                flag_col: str = "match_flag") -> DataFrame:
+                flag_col: str = "match_flag", tolerance: float = EPS) -> DataFrame:
     """For every left row, the best cosine against all right rows if it reaches
-    ``threshold`` (else NULL) and a 0/1 flag (score >= threshold, inclusive)."""
+    ``threshold`` (else NULL) and a 0/1 flag (score >= threshold, inclusive; a score within
+    ``tolerance`` of it, as rounding may leave an exact tie, reaches it)."""
     docs = tfidf_docs(left, right, left_text, right_text)
     lpost, rpost = tfidf_postings(docs)
-    pairs = threshold_pairs(lpost, rpost, threshold)
+    pairs = threshold_pairs(lpost, rpost, threshold, tolerance)
     best = pairs.groupBy("ltext").agg(F.max("score").alias(score_col))
     ldocs = docs.where(F.col("side") == "L").select(F.col("text").alias("_t"), F.col("tid").alias("ltext"))
     best = best.join(ldocs, "ltext").drop("ltext")
     out = left.join(best, left[left_text].eqNullSafe(best["_t"]), "left").drop("_t")
-    return out.withColumn(flag_col, F.when(F.col(score_col) >= F.lit(threshold - EPS), 1).otherwise(0))
+    return out.withColumn(flag_col, F.when(F.col(score_col) >= F.lit(threshold - tolerance), 1).otherwise(0))
 
 
 def top_k_texts(lpost: DataFrame, rpost: DataFrame, k: int, rmult: DataFrame | None = None,
@@ -161,7 +163,8 @@ def shortlist_rerank(left: DataFrame, right: DataFrame, left_id: str, right_id:
                      flag_col: str = "rerank_flag", score_col: str = "rerank_score") -> DataFrame:
     """Per left row, the k right rows with the highest sparse cosine (ties:
     smaller right id; right rows without any shared gram rank after all others,
-    score 0), then the best dense cosine among them; flag = best >= threshold.
+    score 0), then the best dense cosine among them; flag = best >= threshold. Scores are
+    ranked after rounding to ``score_digits`` digits, so that equal ones tie however summed.
     Output: left_id, rerank_score (best dense cosine), rerank_flag."""
     docs = tfidf_docs(left, right, left_text, right_text)
     lpost, rpost = tfidf_postings(docs)

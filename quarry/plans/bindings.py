@@ -225,7 +225,7 @@ def q_top_bottom(spark, sf_dir):
 def q_top_ratio(spark, sf_dir):
     t = Tables(spark, sf_dir)
     on = _orders_nation(t).withColumn("y", F.year("o_orderdate"))
-    latest = A.latest_partition(on, "y")
+    latest = A.latest_partition(on, "y", t.orders.select(F.year("o_orderdate").alias("y")))
     per = latest.groupBy("n_name").agg(
         F.countDistinct("o_custkey").alias("total"),
         A.count_where(F.col("o_orderpriority") == "1-URGENT").alias("flagged"))

@@ -19,7 +19,7 @@ from quarry.operators import quality as Q
 from quarry.operators import rank as R
 from quarry.operators import similarity as S
 from quarry.plans.bindings import EVENT_TYPES, _latest_event_values, exact_mean, r4
-from quarry.session import Tables
+from quarry.session import Tables, cut_lineage
 
 
 def _d(c):
@@ -101,8 +101,7 @@ def q_recipe_enrich(spark, sf_dir):
     measure, left-joined to the entity table."""
     t = Tables(spark, sf_dir)
     wide = _latest_event_values(t.events)
-    for c in EVENT_TYPES:
-        wide = R.pct_rank_avg(wide, c, f"{c}_pctl")
+    wide = R.pct_rank_columns(wide, "user_id", EVENT_TYPES, "_pctl")
     out = t.customer.join(wide, F.col("c_custkey") == F.col("user_id"), "left")
     cols = [r4(c).alias(c) for c in EVENT_TYPES] + [r4(f"{c}_pctl").alias(f"{c}_pctl") for c in EVENT_TYPES]
     return out.select("c_custkey", "c_nationkey", *cols)
@@ -251,7 +250,7 @@ def q_recipe_quality(spark, sf_dir):
     """One-row quality report over the panel: summary counts, duplicate keys,
     key coverage against the entity table, bucketed order-to-ship differences."""
     t = Tables(spark, sf_dir)
-    m = panel(t)
+    m = cut_lineage(panel(t))  # four summaries read it
     summary = Q.panel_summary(m, "k", "y", F.col("src") == "both")
     dups = D.duplicate_count(m, ["k", "y"])
     cov = M.key_coverage(m, t.customer, "k", "c_custkey")

@@ -59,7 +59,8 @@ def q_report_q1(spark, sf_dir):
 
 def q_report_q2(spark, sf_dir):
     """State performance: latest year, median margin per state, top/bottom 15."""
-    p = A.latest_partition(report_panel(Tables(spark, sf_dir)), "Year")
+    t = Tables(spark, sf_dir)
+    p = A.latest_partition(report_panel(t), "Year", t.orders.select(F.year("o_orderdate").alias("Year")))
     per = QT.group_medians(p, "State", {"Median_Margin": "margin"})
     tb = A.top_bottom(per, "State", "Median_Margin", n=15)
     return tb.select("section", "pos", "State", r4("Median_Margin").alias("Median_Margin"))
@@ -106,7 +107,8 @@ def q_report_q7(spark, sf_dir):
 
 def q_report_q8(spark, sf_dir):
     """Participation: latest year, flagged rows / distinct entities per state, top 20."""
-    p = A.latest_partition(report_panel(Tables(spark, sf_dir)), "Year")
+    t = Tables(spark, sf_dir)
+    p = A.latest_partition(report_panel(t), "Year", t.orders.select(F.year("o_orderdate").alias("Year")))
     per = p.groupBy("State").agg(F.countDistinct("id").alias("Total"),
                                  A.count_where(F.col("flag") == 1).alias("Flagged"))
     per = per.withColumn("Rate", F.col("Flagged") / F.col("Total"))

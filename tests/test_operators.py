@@ -123,18 +123,13 @@ def test_interval_overlap_fixture_and_random(spark):
         return None if random.random() < 0.05 else base + dt.timedelta(days=random.randint(0, 2500))
     lrows = [(random.randint(0, 30), rd(), rd()) for _ in range(400)]
     prows = [(random.randint(0, 30), rd(), rd() if random.random() < 0.8 else None) for _ in range(300)]
-    l = spark.createDataFrame(lrows, "k int, b date, e date")
+    l = spark.createDataFrame([(i, *r) for i, r in enumerate(lrows)], "i int, k int, b date, e date")
     p = spark.createDataFrame(prows, "k int, s date, t date")
-    got = [r.flag for r in IV.interval_overlap_flag(l, "k", "b", "e", p, "k", "s", "t")
-           .orderBy("k", "b", "e").collect()]
+    got = {r.i: r.flag for r in IV.interval_overlap_flag(l, "k", "b", "e", p, "k", "s", "t").collect()}
     byk = {}
     for k, s, t in prows:
         byk.setdefault(k, []).append((s, t))
-    key = sorted(lrows, key=lambda r: (r[0], r[1] is not None, r[1] or base, r[2] is not None, r[2] or base))
-    exp = [_overlap_ref(b, e, byk.get(k, [])) if k in byk else 0 for k, b, e in key]
-    assert Counter(got) == Counter(exp)
-    arrays = IV.interval_overlap_flag_arrays(l, "k", "b", "e", p, "k", "s", "t")
-    assert Counter(r.flag for r in arrays.collect()) == Counter(exp)
+    assert got == {i: _overlap_ref(b, e, byk.get(k, [])) if k in byk else 0 for i, (k, b, e) in enumerate(lrows)}
 
 
 def _grams(t):

@@ -99,13 +99,12 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of docs as many times as the plan takes it, columns of docs.
 
     Rows that agree in id, source and text are one entry of the plan with their copies added."""
-    chosen = plan(docs, **options).filter("copies > 0")
-    chosen = chosen.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__src"), F.col("text_hash").alias("__hash")).agg(F.sum("copies").alias("__copies"))
-    key = ["doc_id", "source", "__hash"]
-    # Rows that agree in the key share the copies: the first (copies mod rows) of them take one more.
-    left = docs.withColumn("__hash", F.xxhash64("text"))
-    joined = left.join(chosen.withColumnRenamed("__hash", "__h"), F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__src")) & (F.col("__hash") == F.col("__h")))
-    same = Window.partitionBy(*key)
+    key = F.struct("doc_id", "source", F.col("text_hash").alias("hash"))
+    chosen = plan(docs, **options).filter("copies > 0").groupBy(key.alias("__k")).agg(F.sum("copies").alias("__copies"))
+    # Rows that agree in the key share its copies: the first (copies mod rows) of them take one more.
+    left = docs.withColumn("__key", F.struct("doc_id", "source", F.xxhash64("text").alias("hash")))
+    joined = left.join(chosen, F.col("__key") == F.col("__k"))
+    same = Window.partitionBy("__key")
     joined = joined.withColumn("__same", F.count("*").over(same)).withColumn("__nth", F.row_number().over(same.orderBy(F.lit(0))))
     each = F.floor(F.col("__copies") / F.col("__same")) + (F.col("__nth") <= F.col("__copies") % F.col("__same")).cast("long")
     return joined.withColumn("__each", F.explode(F.array_repeat(F.lit(1), each.cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -44,6 +44,8 @@ DEEP_BRANCH = 3
 LEVELS = 3
 NODE = 3000
 TARGET_RECALL = 0.999999
+#: Ids, of a few bytes each, up to which they are broadcast.
+BROADCAST_IDS = 500_000
 #: Share of equal sketch values below which two sets of the threshold fall once in a million.
 SKETCH_SHARE = 0.56
 
@@ -276,10 +278,21 @@ def classify(docs: DataFrame, size: int = WORDS) -> DataFrame:
 
 
 def dedup(docs: DataFrame, size: int = WORDS) -> DataFrame:
-    """docs without the rows that a smaller id of their component stands for; one row per kept id."""
-    kept = classify(docs, size).filter("kept").select(F.col("doc_id").alias("__id")).distinct()
-    joined = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id")
-    return joined.dropDuplicates(["doc_id"])
+    """docs without the rows that a smaller id of their component stands for; one row per kept id.
+
+    Up to ``BROADCAST_IDS`` ids that go, or stand in several rows, are broadcast and no text is
+    shuffled; beyond that, texts meet the kept ids in a shuffled join."""
+    found = cut_lineage(classify(docs, size).groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("k")))
+    odd = found.filter("NOT kept OR k > 1").select(F.struct("doc_id").alias("__id"), "kept")
+    keyed = docs.withColumn("__key", F.struct("doc_id"))
+    if odd.count() <= BROADCAST_IDS:
+        single = keyed.join(F.broadcast(odd.select("__id")), F.col("__key") == F.col("__id"), "left_anti")
+        several = keyed.join(F.broadcast(odd.filter("kept").select("__id")), F.col("__key") == F.col("__id"), "left_semi")
+        out = single.unionByName(several.dropDuplicates(["__key"]))
+    else:
+        kept = found.filter("kept").select(F.struct("doc_id").alias("__id"))
+        out = keyed.join(kept, F.col("__key") == F.col("__id")).drop("__id").dropDuplicates(["__key"])
+    return out.drop("__key")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

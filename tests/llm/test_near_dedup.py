@@ -55,12 +55,14 @@ def test_components_equal_brute_force(spark, monkeypatch, node, seed):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
-def test_dedup_keeps_one_of_each_group(spark):
-    rows = [(5, "a b c d e f"), (2, "A b c d e f"), (9, "q r s"), (9, "q r s"), (11, None), (12, "")]
+@pytest.mark.parametrize("ids", [500_000, 0])
+def test_dedup_keeps_one_of_each_group(spark, monkeypatch, ids):
+    monkeypatch.setattr(N, "BROADCAST_IDS", ids)
+    rows = [(5, "a b c d e f"), (2, "A b c d e f"), (9, "q r s"), (9, "q r s"), (11, None), (12, ""), (None, "u v w")]
     df = spark.createDataFrame([(i, t, "z") for i, t in rows], "doc_id long, text string, kept string")
     out = N.dedup(df)
     assert out.columns == df.columns
-    assert sorted(r.doc_id for r in out.collect()) == [2, 9, 11, 12]
+    assert sorted((r.doc_id for r in out.collect()), key=str) == [11, 12, 2, 9, None]
 
 
 def test_empty_table(spark):

@@ -5,6 +5,7 @@ Words are maximal runs of characters outside ``\\x20`` and ``\\x09-\\x0D`` every
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.session import cut_lineage, table
 
-__all__ = ["WORD", "GAP", "BLANK", "cut_lineage", "let", "read", "size_of_groups", "words"]
+__all__ = ["WORD", "GAP", "BLANK", "cut_lineage", "let", "read", "size_of_groups", "use_package", "words"]
 
 #: A word, a gap between words, and the characters of a gap.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -24,6 +25,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return table(spark, sf_dir, name)
 
 
+def use_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver found it, whatever folder
+    the driver was started in. Executors on other machines need it installed or sent along
+    (``--py-files``), as any package."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` applied to ``value``, which is computed once however often body uses it."""
     return F.transform(F.array(value), body)[0]

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.llm.common import cut_lineage, read
+from quarry.llm.common import cut_lineage, read, use_package
 
 TREES = 32
 BITS = 32
@@ -189,6 +189,7 @@ def _fit_m(entries: DataFrame, asked: DataFrame, sums: DataFrame, k: int) -> int
 
 def search(vectors: DataFrame, is_query: Column, k: int = K, seed: int = 1) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k nearest found for the rows of ``is_query``."""
+    use_package(vectors.sparkSession)
     rows = cut_lineage(_usable(vectors))
     ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).filter(F.col("r") <= k + 1)
     entries = ranked.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).withColumn("key", F.col("ids")[0])

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.llm.common import cut_lineage, read, size_of_groups
+from quarry.llm.common import cut_lineage, read, size_of_groups, use_package
 
 LENGTH = 4096
 END = 1
@@ -134,6 +134,7 @@ def _pieces(path: str, length: int, end: int, with_ids: bool):
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids) of each piece of each document."""
+    use_package(docs.sparkSession)
     found = docs.select("doc_id", F.explode(_pieces(path, length, end, with_ids)(F.col("text"))).alias("p"))
     return found.select("doc_id", "p.*")
 
@@ -264,6 +265,7 @@ def _pack_level(items: DataFrame, shards: int, length: int, seed: int) -> DataFr
 
 def pack(found: DataFrame, length: int = LENGTH, seed: int = 1) -> DataFrame:
     """found (a ``length`` per row, at most the given one) with ``sequence_id`` and ``offset``."""
+    use_package(found.sparkSession)
     found = cut_lineage(found.withColumn("uid", F.monotonically_increasing_id()))
     whole = found.filter(F.col("length") == length).select("uid", "length", (-F.col("uid") - 1).alias("sequence_id"))
     rest, placed, level = found.filter(F.col("length") < length).select("uid", "length"), [whole], 0

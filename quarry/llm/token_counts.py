@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import BLANK, read
+from quarry.llm.common import BLANK, read, use_package
 
 #: Nodes of a worker's trie, and words whose counts it remembers.
 NODES = 400_000
@@ -112,6 +112,8 @@ def pre_tokens(text: str | None) -> list[str]:
 def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """docs with ``n_words`` and ``n_tokens`` of the whole text."""
 
+    use_package(docs.sparkSession)
+
     @F.arrow_udf("struct<words: long, tokens: long>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = counts(path)

@@ -188,8 +188,11 @@ FINAL_COLUMNS = ["Pre-REH CCN", "Post-REH CCN", "Hospital Name", "State", "REH C
 def conversion_list(base: DataFrame | None, extra: DataFrame | None) -> DataFrame | None:
     """R8 core: base list (upstream headers) harmonised and labelled; a second list
     with free headers harmonised by keyword rules fills base NULLs on normalised
-    name + state. Fallbacks (J12): both missing -> None; base missing -> the second
-    list with NULL ids."""
+    name + state. Fallbacks (J12): both missing or empty -> None; base missing or empty ->
+    the second list with NULL ids. Base columns that are absent are NULL; the state may
+    come as ENROLLMENT STATE."""
+    base = None if base is None or base.isEmpty() else base
+    extra = None if extra is None or extra.isEmpty() else extra
     if extra is not None:
         extra = P.normalize_headers(extra)
         extra = P.rename(extra, P.harmonize_headers(extra.columns))
@@ -201,17 +204,21 @@ def conversion_list(base: DataFrame | None, extra: DataFrame | None) -> DataFram
         return P.canonical_order(out, FINAL_COLUMNS, {c: "string" for c in FINAL_COLUMNS}).select(*FINAL_COLUMNS) \
             .dropna(subset=["Hospital Name"])
     b = P.normalize_headers(base)
+
+    def one_of(*names):
+        return next((F.col(n) for n in names if n in b.columns), F.lit(None).cast("string"))
+
     b = b.select(
-        C.to_long_id("CCN").alias("Post-REH CCN"), C.to_long_id("CAH OR HOSPITAL CCN").alias("Pre-REH CCN"),
-        F.col("ORGANIZATION NAME").alias("Hospital Name"), F.col("STATE").alias("State"),
-        F.col("REH CONVERSION DATE").alias("REH Conversion Date"),
-        FN.flag_label("REH CONVERSION FLAG").alias("Previous Medicare Payment Type"),
+        C.to_long_id(one_of("CCN")).alias("Post-REH CCN"), C.to_long_id(one_of("CAH OR HOSPITAL CCN")).alias("Pre-REH CCN"),
+        one_of("ORGANIZATION NAME").alias("Hospital Name"), one_of("STATE", "ENROLLMENT STATE").alias("State"),
+        one_of("REH CONVERSION DATE").alias("REH Conversion Date"),
+        FN.flag_label(one_of("REH CONVERSION FLAG")).alias("Previous Medicare Payment Type"),
         F.lit("Active").alias("Current Status"))
     b = b.dropna(subset=["Post-REH CCN"])
     if extra is not None and {"Hospital Name", "State"} <= set(extra.columns):
         fill = [c for c in ("Previous Medicare Payment Type", "Current Status", "REH Conversion Date")
                 if c in extra.columns]
-        right = extra.where(TX.name_key("Hospital Name") != "")
+        right = extra.dropna(subset=["Hospital Name"])
         b = M.fill_from_right(
             b, right,
             [(TX.name_key("Hospital Name"), TX.name_key(right["Hospital Name"])),

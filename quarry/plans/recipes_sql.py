@@ -181,7 +181,7 @@ SELECT "Pre-REH CCN", "Post-REH CCN", "Hospital Name", "State",
   coalesce(conv_date, eff) AS "REH Conversion Date", coalesce(status, cur_status) AS "Current Status",
   coalesce(pay_type, prior_type) AS "Previous Medicare Payment Type"
 FROM base LEFT JOIN extra ON {name_key('base."Hospital Name"')} = {name_key("extra.name")}
-  AND upper(trim(base."State")) = upper(trim(extra.st)) AND {name_key("extra.name")} <> ''
+  AND upper(trim(base."State")) = upper(trim(extra.st)) AND extra.name IS NOT NULL
 WHERE "Hospital Name" IS NOT NULL
 """
 

@@ -14,6 +14,7 @@ from quarry.operators import quality as Q
 from quarry.operators import quantiles as QT
 from quarry.operators import rank as R
 from quarry.operators.ordering import global_row_number
+from quarry.plans.recipes import FINAL_COLUMNS, conversion_list
 from quarry.session import ensure_checkpoint_dir
 from quarry.sources import guards as G
 from quarry.sources import readers as RD
@@ -149,3 +150,16 @@ def test_a_cluster_must_name_the_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_conversion_list_fallbacks(spark):
+    base = spark.createDataFrame([("1", " Oak Hospital", "tx"), ("2", "General Hospital", None), (None, "x", "tx")], "`CCN ` string, `ORGANIZATION NAME` string, `ENROLLMENT STATE` string")
+    extra = spark.createDataFrame([("OAK", "TX ", "CAH"), ("Hospital", None, "PPS"), (None, None, None)], "`Facility` string, `State` string, `Prior Type` string")
+    got = {r["Post-REH CCN"]: (r["State"], r["Previous Medicare Payment Type"]) for r in conversion_list(base, extra).collect()}
+    assert got == {1: ("tx", "CAH"), 2: (None, "PPS")}  # blank names and NULL states meet, as in pandas
+    alone = conversion_list(base.limit(0), extra)
+    assert alone.columns == FINAL_COLUMNS
+    assert sorted(r["Hospital Name"] for r in alone.collect()) == ["Hospital", "OAK"]
+    assert conversion_list(base.limit(0), extra.limit(0)) is None
+    assert conversion_list(None, None) is None
+    assert conversion_list(base, None).count() == 2

@@ -105,7 +105,12 @@ class Encoder:
 
 
 SEPARATORS = re.compile("[\x1c-\x1f]")
-encoder = functools.cache(Encoder)
+
+
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """The worker's encoder."""
+    return Encoder(path)
 
 
 def _pieces(path: str, length: int, end: int, with_ids: bool):

@@ -23,13 +23,15 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import read
+from quarry.llm.common import cut_lineage, read
 from quarry.session import ensure_checkpoint_dir
 
 #: The base32 alphabet of RFC 4648 and the profile of a revisit.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
+#: Keys of copies, of about a hundred bytes each, up to which they are broadcast.
+BROADCAST_KEYS = 100_000
 
 
 def base32_of_hex(hexadecimal: Column) -> Column:
@@ -50,18 +52,31 @@ def _lines(*parts) -> Column:
     return F.concat(*[F.coalesce(F.concat(p, F.lit("\r\n")), F.lit("")) for p in parts])
 
 
+def _payloads(rows: DataFrame, slim: DataFrame, group: DataFrame) -> DataFrame:
+    """Each payload once. With few copies their keys are broadcast, and no payload is shuffled."""
+    keys = slim.groupBy("page_id", "sha256").agg(F.count("*").alias("k")).join(group, F.col("sha256") == F.col("g"))
+    keys = keys.withColumn("first", F.col("page_id").eqNullSafe(F.col("first_id"))).filter("k > 1 OR NOT first")
+    keys = cut_lineage(keys.select(F.col("page_id").alias("__id"), F.col("sha256").alias("__sha"), "first"))
+    rows = rows.select("page_id", "sha256", "payload")
+    if keys.count() > BROADCAST_KEYS:
+        return rows.groupBy("sha256").agg(F.any_value("payload").alias("payload"))
+    keys = F.broadcast(keys)
+    on = F.col("page_id").eqNullSafe(F.col("__id")) & (F.col("sha256") == F.col("__sha"))
+    single = rows.join(keys, on, "left_anti")
+    repeated = rows.join(keys.filter("first"), on, "left_semi").dropDuplicates(["sha256"])
+    return single.unionByName(repeated).select("sha256", "payload")
+
+
 def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     """Write pages (page_id, url, html) as an archive into the folder ``path``."""
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select("page_id", "url", payload.alias("payload"))
     rows = rows.withColumns({"sha256": F.sha2("payload", 256), "sha1": F.sha1("payload"), "n": F.octet_length("payload").cast("long")})
-    slim = rows.select("page_id", "url", "sha256", "sha1", "n")
+    slim = cut_lineage(rows.select("page_id", "url", "sha256", "sha1", "n"))
     group = slim.groupBy("sha256").agg(F.min("page_id").alias("first_id"), F.min("sha1").alias("lo"), F.max("sha1").alias("hi"), F.min("n").alias("nlo"), F.max("n").alias("nhi"))
     same = (F.col("lo") == F.col("hi")) & (F.col("nlo") == F.col("nhi"))
-    group = group.select(F.col("sha256").alias("g"), F.when(same, F.col("first_id")).otherwise(F.raise_error(F.lit("two payloads share a SHA-256")).cast("long")).alias("first_id"))
-    # Only the first record of each payload moves its payload.
-    first = rows.select("page_id", "sha256", "payload").join(group, F.col("page_id").eqNullSafe(F.col("first_id")) & (F.col("sha256") == F.col("g")))
-    first.dropDuplicates(["sha256"]).select("sha256", "payload").write.mode("overwrite").parquet(f"{path}/payloads")
+    group = cut_lineage(group.select(F.col("sha256").alias("g"), F.when(same, F.col("first_id")).otherwise(F.raise_error(F.lit("two payloads share a SHA-256")).cast("long")).alias("first_id")))
+    _payloads(rows, slim, group).write.mode("overwrite").parquet(f"{path}/payloads")
 
     out = slim.join(group, F.col("sha256") == F.col("g"))
     response = F.col("page_id").eqNullSafe(F.col("first_id")) | (F.col("n") < min_bytes)
@@ -78,15 +93,20 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     out.select(header.alias("header"), "sha256", response.alias("whole")).write.mode("overwrite").parquet(f"{path}/headers")
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """record (the exact bytes) and sha256 of every record of an archive, payloads verified."""
+def read_records(spark: SparkSession, path: str, whole: bool | None = None) -> DataFrame:
+    """record (the exact bytes) and sha256 of every record of an archive, payloads verified;
+    with ``whole`` only of those with a payload (True) or only of revisits (False), which
+    need no payload and so no join."""
     payloads = spark.read.parquet(f"{path}/payloads")
     good = F.when(F.sha2("payload", 256) == F.col("sha256"), F.col("payload")).otherwise(F.raise_error(F.lit("a payload does not have its digest")).cast("binary"))
     payloads = payloads.select(F.col("sha256").alias("g"), good.alias("payload"))
     headers = spark.read.parquet(f"{path}/headers")
     end = F.encode(F.lit("\r\n\r\n"), "UTF-8")
-    whole = headers.filter("whole").join(payloads, F.col("sha256") == F.col("g")).select(F.concat("header", "payload", end).alias("record"), "sha256")
-    return whole.unionByName(headers.filter("NOT whole").select(F.concat("header", end).alias("record"), "sha256"))
+    responses = headers.filter("whole").join(payloads, F.col("sha256") == F.col("g")).select(F.concat("header", "payload", end).alias("record"), "sha256")
+    revisits = headers.filter("NOT whole").select(F.concat("header", end).alias("record"), "sha256")
+    if whole is None:
+        return responses.unionByName(revisits)
+    return responses if whole else revisits
 
 
 def parse_records(records: DataFrame) -> DataFrame:
@@ -112,10 +132,10 @@ def parse_records(records: DataFrame) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archive(read(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
-    parsed = parse_records(read_records(spark, path))
-    responses = parsed.filter("payload IS NOT NULL").select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest", "record_type", "refers_to", "sha256")
+    responses = parse_records(read_records(spark, path, whole=True)).select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest", "record_type", "refers_to", "sha256")
+    responses = cut_lineage(responses)
     sizes = responses.groupBy(F.col("sha256").alias("g")).agg(F.first("payload_bytes").alias("payload_bytes"))
-    visits = parsed.filter("payload IS NULL").join(sizes, F.col("sha256") == F.col("g"))
+    visits = parse_records(read_records(spark, path, whole=False)).join(sizes, F.col("sha256") == F.col("g"))
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return responses.select(*names).unionByName(visits.select(*names))
 

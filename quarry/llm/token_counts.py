@@ -29,10 +29,12 @@ from pyspark.sql import functions as F
 from quarry.llm.common import BLANK, read, use_package
 
 #: Nodes of a worker's trie, and words whose counts it remembers.
-NODES = 400_000
+NODES = 800_000
 WORDS = 400_000
 #: Longest word that stays in the trie.
 LONG = 64
+#: Lengths of pieces that are tried at every place.
+SHORT = (1, 2)
 #: Fixed value: SentencePiece's mark for the start of a word.
 MARK = "▁"
 
@@ -48,37 +50,48 @@ def vocabulary(path: str) -> dict[str, float]:
 class Trie:
     def __init__(self, pieces: dict[str, float]):
         self.pieces = pieces
-        self.longest = max(map(len, pieces), default=1)
+        # the lengths to try where a prefix ends, by its last three characters
+        lengths: dict[str, set[int]] = {}
+        for piece in pieces:
+            if len(piece) > 2:
+                lengths.setdefault(piece[-3:], set()).add(len(piece))
+        self.lengths = {end: (*SHORT, *sorted(n)) for end, n in lengths.items()}
         self.fallback = min(pieces.values(), default=0.0) - 1.0
         self.clear()
 
     def clear(self) -> None:
-        self.root = (0.0, 0, {})
-        self.nodes = 1
+        # a node is found by its prefix; its value is (score, -tokens)
+        self.nodes: dict[str, tuple[float, int]] = {"": (0.0, 0)}
 
     def insert(self, word: str) -> int:
         """The number of tokens of a word's best segmentation."""
-        if self.nodes > NODES:
+        nodes, pieces = self.nodes, self.pieces
+        if len(nodes) > NODES:
             self.clear()
-        pieces, path, node = self.pieces, [self.root], self.root
+            nodes = self.nodes
         keep = len(word) <= LONG
-        for end in range(1, len(word) + 1):
-            found = node[2].get(word[end - 1])
-            if found is None:
-                size = len(word[end - 1].encode("utf-8", "replace"))
-                best = (path[end - 1][0] + size * self.fallback, -path[end - 1][1] - size)
-                for begin in range(max(0, end - self.longest), end):
-                    score = pieces.get(word[begin:end])
-                    if score is not None:
-                        above = path[begin]
-                        best = max(best, (above[0] + score, -above[1] - 1))
-                found = (best[0], -best[1], {})
-                if keep:
-                    node[2][word[end - 1]] = found
-                    self.nodes += 1
-            node = found
-            path.append(node)
-        return node[1]
+        known = len(word) if keep else 0
+        while word[:known] not in nodes:
+            known -= 1
+        path = [nodes[word[:end]] for end in range(known + 1)]
+        for end in range(known + 1, len(word) + 1):
+            last = word[end - 1]
+            size = 1 if last < "\x80" else len(last.encode("utf-8", "replace"))
+            score, tokens = path[end - 1]
+            score, tokens = score + size * self.fallback, tokens - size
+            for n in self.lengths.get(word[end - 3 : end], SHORT) if end > 2 else SHORT[:end]:
+                if n <= end:
+                    piece = pieces.get(word[end - n : end])
+                    if piece is not None:
+                        above = path[end - n]
+                        total = above[0] + piece
+                        if total > score or (total == score and above[1] - 1 > tokens):
+                            score, tokens = total, above[1] - 1
+            best = (score, tokens)
+            path.append(best)
+            if keep:
+                nodes[word[:end]] = best
+        return -path[-1][1]
 
 
 class Counts(dict):

@@ -60,15 +60,20 @@ def paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     # up: the node 2**k above (NULL beyond the root), the nodes passed on the way and their scores
     up = cut_lineage(edges.select("id", F.col("__id").alias("up"), F.lit(1).cast("long").alias("steps"), F.col("score").alias("sum"),
                                   F.when(F.col("__id").isNull(), F.col("id")).alias("root")))
-    pointers, bound = [up], up.count()
-    while 2 ** (len(pointers) - 1) < bound and not up.filter("up IS NOT NULL").isEmpty():
-        far = up.select(F.col("id").alias("__i"), F.col("up").alias("__u"), F.col("steps").alias("__n"), F.col("sum").alias("__s"), F.col("root").alias("__r"))
-        up = cut_lineage(up.join(far, F.col("up") == F.col("__i"), "left").select(
-            "id", F.col("__u").alias("up"), (F.col("steps") + F.coalesce("__n", F.lit(0))).alias("steps"),
-            (F.col("sum") + F.coalesce("__s", F.lit(0.0))).alias("sum"), F.coalesce("root", "__r").alias("root")))
-        pointers.append(up)
+    bound = up.count()
+    done, active = up.filter("up IS NULL"), up.filter("up IS NOT NULL")
+    pointers = [active]
+    # Only nodes that have not met their root are joined again: few once the short trees are through.
+    while 2 ** (len(pointers) - 1) < bound and not active.isEmpty():
+        far = done.unionByName(active).select(
+            F.col("id").alias("__i"), F.col("up").alias("__u"), F.col("steps").alias("__n"), F.col("sum").alias("__s"), F.col("root").alias("__r"))
+        up = cut_lineage(active.join(far, F.col("up") == F.col("__i")).select(
+            "id", F.col("__u").alias("up"), (F.col("steps") + F.col("__n")).alias("steps"),
+            (F.col("sum") + F.col("__s")).alias("sum"), F.col("__r").alias("root")))
+        done, active = done.unionByName(up.filter("up IS NULL")), up.filter("up IS NOT NULL")
+        pointers.append(active)
     inner = edges.filter("__id IS NOT NULL").select(F.col("__id")).distinct()
-    leaves = up.filter("root IS NOT NULL").join(inner, F.col("id").eqNullSafe(F.col("__id")), "left_anti")
+    leaves = done.join(inner, F.col("id").eqNullSafe(F.col("__id")), "left_anti")
     best = Window.partitionBy("root").orderBy(F.desc("sum"), F.col("id"))
     leaves = leaves.withColumn("rank", F.row_number().over(best))
     if branches is not None:
@@ -76,8 +81,9 @@ def paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     leaves = cut_lineage(leaves.select(F.col("id").alias("leaf"), "rank", "steps"))
     found = leaves.select("leaf", F.col("leaf").alias("id"), F.lit(0).cast("long").alias("above"))
     for k, step in enumerate(pointers):
-        far = step.filter("up IS NOT NULL").select(F.col("id").alias("__i"), F.col("up").alias("__u"))
-        found = found.union(found.join(far, F.col("id") == F.col("__i")).select("leaf", "__u", F.col("above") + 2**k))
+        far = step.select(F.col("id").alias("__i"), F.col("up").alias("__u"))
+        more = found.join(far, F.col("id") == F.col("__i")).select("leaf", F.col("__u").alias("id"), (F.col("above") + 2**k).alias("above"))
+        found = cut_lineage(found.union(more))
     found = found.select("leaf", "id", "above").join(leaves.withColumnRenamed("leaf", "__leaf"), F.col("leaf").eqNullSafe(F.col("__leaf")))
     texts = messages.select(F.struct("conv_id", "node_id").alias("__i"), "role", "text")
     out = found.join(texts, F.col("id").eqNullSafe(F.col("__i")))

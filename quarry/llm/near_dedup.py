@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import cut_lineage, read, use_package
+from quarry.llm.common import BLANK, cut_lineage, read, use_package
 from quarry.llm.components import components
 
 WORDS = 2
@@ -279,21 +279,35 @@ def classify(docs: DataFrame, size: int = WORDS) -> DataFrame:
 
 
 def dedup(docs: DataFrame, size: int = WORDS) -> DataFrame:
-    """docs without the rows that a smaller id of their component stands for; one row per kept id.
-
-    Up to ``BROADCAST_IDS`` ids that go, or stand in several rows, are broadcast and no text is
-    shuffled; beyond that, texts meet the kept ids in a shuffled join."""
-    found = cut_lineage(classify(docs, size).groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("k")))
-    odd = found.filter("NOT kept OR k > 1").select(F.struct("doc_id").alias("__id"), "kept")
-    keyed = docs.withColumn("__key", F.struct("doc_id"))
-    if odd.count() <= BROADCAST_IDS:
-        single = keyed.join(F.broadcast(odd.select("__id")), F.col("__key") == F.col("__id"), "left_anti")
-        several = keyed.join(F.broadcast(odd.filter("kept").select("__id")), F.col("__key") == F.col("__id"), "left_semi")
-        out = single.unionByName(several.dropDuplicates(["__key"]))
+    """docs without the rows that a smaller id of their component stands for.
+
+    The verdict is that of the row: of texts that share an id (or have none) each goes or stays by
+    its own component. Rows equal in id and set of shingles become one; rows with an empty set stay.
+    Near copies that all bear the smallest id of their component stay: none has a smaller one.
+
+    Ids that stand in one kept row need no text. Up to ``BROADCAST_IDS`` other ids and classes are
+    broadcast and no text is shuffled but those of repeated ids; beyond that, all texts are
+    collapsed by (id, set) and meet the kept classes in a shuffled join."""
+    found = cut_lineage(classify(docs, size).groupBy("doc_id", "sig").agg(F.max("kept").alias("kept"), F.count("*").alias("k")))
+    ids = found.groupBy("doc_id").agg(F.max("kept").alias("some"), F.min("kept").alias("every"), F.sum("k").alias("k"))
+    odd = cut_lineage(ids.filter("NOT every OR k > 1").select(F.struct("doc_id").alias("__id"), (F.col("some") & (F.col("k") > 1)).alias("several")))
+    several = odd.filter("several").select("__id")
+    kept = found.filter("kept AND sig IS NOT NULL").select(F.struct("doc_id", "sig").alias("__class"))
+    keyed = docs.withColumn("__id", F.struct("doc_id"))
+    blank = F.btrim(F.coalesce(F.col("text"), F.lit("")), F.lit(BLANK)) == ""
+    sig = _summaries(size)(F.col("text"))["sig"]
+    some = cut_lineage(kept.join(several, F.col("__class")["doc_id"].eqNullSafe(F.col("__id")["doc_id"]), "left_semi")) if not several.isEmpty() else kept.limit(0)
+    if odd.count() + some.count() <= BROADCAST_IDS:
+        single = keyed.join(F.broadcast(odd.select("__id")), "__id", "left_anti")
+        repeated = keyed.join(F.broadcast(several), "__id", "left_semi")
+        classed = repeated.filter(~blank).withColumn("__class", F.struct("doc_id", sig.alias("sig")))
+        classed = classed.join(F.broadcast(some), "__class", "left_semi").dropDuplicates(["__class"])
+        out = single.unionByName(repeated.filter(blank)).unionByName(classed.drop("__class"))
     else:
-        kept = found.filter("kept").select(F.struct("doc_id").alias("__id"))
-        out = keyed.join(kept, F.col("__key") == F.col("__id")).drop("__id").dropDuplicates(["__key"])
-    return out.drop("__key")
+        classed = keyed.filter(~blank).withColumn("__class", F.struct("doc_id", sig.alias("sig")))
+        classed = classed.dropDuplicates(["__class"]).join(kept, "__class", "left_semi")
+        out = keyed.filter(blank).unionByName(classed.drop("__class"))
+    return out.drop("__id")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

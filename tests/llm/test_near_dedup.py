@@ -65,6 +65,18 @@ def test_dedup_keeps_one_of_each_group(spark, monkeypatch, ids):
     assert sorted((r.doc_id for r in out.collect()), key=str) == [11, 12, 2, 9, None]
 
 
+@pytest.mark.parametrize("ids", [500_000, 0])
+def test_dedup_decides_by_row_where_ids_clash(spark, monkeypatch, ids):
+    monkeypatch.setattr(N, "BROADCAST_IDS", ids)
+    near = [f"w{i}" for i in range(40)]
+    first, copy = " ".join(near), " ".join([*near[:-1], "other"])
+    stay = [(None, "a b c"), (None, "d e f"), (None, None), (None, ""), (2, first), (9, "y one two"), (7, "p q"), (7, "r s"), (8, None), (8, " "), (8, "t u")]
+    go = [(9, copy), (None, copy), (12, copy), (12, "y one two"), (7, "r  S"), (None, "A b c")]
+    df = spark.createDataFrame([(i, t, "z") for i, t in stay + go], "doc_id long, text string, sig string")
+    got = [(r.doc_id, (r.text or "").lower().split()) for r in N.dedup(df).collect()]
+    assert sorted(got, key=str) == sorted([(i, (t or "").split()) for i, t in stay], key=str)
+
+
 def test_empty_table(spark):
     assert N.classify(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -6,11 +6,14 @@ different windows of one text collide with a probability under 1e-10 for 20,000
 
 Defined cases: a NULL text counts as empty (all counts 0, base_failed); NULL ids are kept;
 repeated rows are judged each on its own; an empty table gives an empty result; the
-columns this operator adds replace columns of the same name.
+columns this operator adds replace columns of the same name. The stop-word rule judges only
+texts whose ``lang`` is one of ``LANGUAGES``; it says nothing about other languages and texts
+without a language.
 """
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,24 +28,29 @@ STOP_WORDS = (
     "der die das und ist nicht ein eine zu den von mit im auf dem des sich es für als "
     "el los las y que un una por con para se no su al lo como más es del en"
 ).split()
+#: The tags of these languages (ISO 639), without region or script.
+LANGUAGES = ("en", "eng", "fr", "fra", "fre", "de", "deu", "ger", "es", "spa")
 
 
 class Rule(NamedTuple):
-    """A document fails if ``share`` of ``per`` (both counts) is outside [low, high]."""
+    """A document fails if ``share`` of ``per`` (both counts) is outside [low, high].
+
+    A rule with ``languages`` judges texts of those alone."""
 
     name: str
     count: str
     per: str | None
     low: float
     high: float
+    languages: tuple[str, ...] | None = None
 
 
 #: Production thresholds. Each is far from what running prose shows, so that only junk fails.
 RULES = (
-    Rule("words", "n_words", None, 50, 10_000_000),
+    Rule("words", "n_words", None, 50, math.inf),
     Rule("word_length", "word_chars", "n_words", 2.0, 15.0),
     Rule("symbols", "n_symbols", "n_words", 0.0, 0.10),
-    Rule("stop_words", "n_stop_words", "n_words", 0.02, 1.0),
+    Rule("stop_words", "n_stop_words", "n_words", 0.02, 1.0, LANGUAGES),
     Rule("duplicate_lines", "n_dup_lines", "n_lines", 0.0, 0.50),
     Rule("repeated_windows", "n_repeat_words", "n_words", 0.0, 0.50),
 )
@@ -79,15 +87,21 @@ def measures(text: Column) -> Column:
         long(F.size(F.filter(w, lambda x: F.lower(x).isin(STOP_WORDS))), "n_stop_words"))))
 
 
-def verdict(m: Column, rules: tuple[Rule, ...] = RULES) -> Column:
-    """The names of the rules that a text breaks."""
+def verdict(m: Column, lang: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """The names of the rules that a text of that language breaks."""
+    tag = F.split(F.lower(F.btrim(lang)), "[-_]")[0]
     broken = []
     for r in rules:
         x = m[r.count] if r.per is None else m[r.count] / F.greatest(m[r.per], F.lit(1))
-        broken.append(F.when((x < r.low) | (x > r.high), F.lit(r.name)))
+        outside = (x < r.low) | (x > r.high)
+        broken.append(F.when(outside if r.languages is None else outside & tag.isin(*r.languages), F.lit(r.name)))
     return F.array_compact(F.array(*broken))
 
 
+def _lang(docs: DataFrame) -> Column:
+    return F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+
+
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, min_words: int = 50, max_repeat_pct: int = 50) -> DataFrame:
     """docs with the counts, ``base_failed``, ``broken_rules`` (names) and ``kept``."""
     fields = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stop_words")
@@ -95,24 +109,24 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, min_words: int = 50,
     m = F.col("__m")
     out = out.withColumns({f: m[f] for f in fields} | {
         "base_failed": (m["n_words"] < min_words) | (100 * m["n_repeat_words"] > max_repeat_pct * m["n_words"]),
-        "broken_rules": verdict(m, rules)})
+        "broken_rules": verdict(m, _lang(docs), rules)})
     return out.withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0)).drop("__m")
 
 
-def keeps(text: Column, rules: tuple[Rule, ...] = RULES, min_words: int = 50, max_repeat_pct: int = 50) -> Column:
+def keeps(text: Column, lang: Column, rules: tuple[Rule, ...] = RULES, min_words: int = 50, max_repeat_pct: int = 50) -> Column:
     """``kept`` of ``judge`` as one expression. A filter on the column ``kept`` would be pushed below
     the projection and compute the measures once for every count that a rule names."""
     fine = lambda m: (m["n_words"] >= min_words) & (100 * m["n_repeat_words"] <= max_repeat_pct * m["n_words"])
-    return let(measures(text), lambda m: fine(m) & (F.size(verdict(m, rules)) == 0))
+    return let(measures(text), lambda m: fine(m) & (F.size(verdict(m, lang, rules)) == 0))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that break a rule go."""
-    return docs.filter(keeps(F.col("text")))
+    return docs.filter(keeps(F.col("text"), _lang(docs)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
@@ -120,6 +134,7 @@ def _sql_list(values) -> str:
     return ", ".join(f"'{v}'" for v in dict.fromkeys(values))
 
 
+#: For the given tables: their languages are all listed, and no text has 10,000,000 words.
 ORACLE_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS rid FROM documents),
 w AS (SELECT rid, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
@@ -137,6 +152,6 @@ b AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_fa
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
        NOT base_failed AND {" AND ".join(
-           f"{r.count}{'' if r.per is None else f' / greatest({r.per}, 1)'} BETWEEN {r.low} AND {r.high}" for r in RULES)} AS kept
+           f"{r.count}{'' if r.per is None else f' / greatest({r.per}, 1)'} BETWEEN {r.low} AND {10_000_000 if r.high == math.inf else r.high}" for r in RULES)} AS kept
 FROM b
 """

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import mixing, quality_rules
 
@@ -55,6 +56,23 @@ def test_clean_prose_is_kept_and_junk_goes(spark):
     assert got == {1: True, 2: False}
 
 
+def test_stop_words_judge_listed_languages_only(spark):
+    rng = random.Random(4)
+    prose = {c: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(200))
+             for c, letters in {"ru": "абвгдежзиклмнопрст", "el": "αβγδεζηθικλμνξοπρσ", "ar": "ابتثجحخدذرزسشصضطظع", "ko": "가나다라마바사아자차카타", "fi": "äöyktp"}.items()}
+    rows = [(i, t, c, "s", 0) for i, (c, t) in enumerate(prose.items())] + [(10, prose["ru"], None, "s", 0), (11, prose["fi"], "en", "s", 0), (12, prose["fi"], "DE-at", "s", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r.doc_id: r.broken_rules for r in quality_rules.judge(docs).collect()}
+    assert got == {**{i: [] for i in range(5)}, 10: [], 11: ["stop_words"], 12: ["stop_words"]}
+    assert {r.doc_id for r in quality_rules.stage(spark, docs, "").collect()} == {0, 1, 2, 3, 4, 10}
+    assert all(r.kept for r in quality_rules.judge(docs.drop("lang")).collect())
+
+
+def test_no_text_is_too_long(spark):
+    counts = spark.sql("SELECT struct(20000000L AS n_words, 80000000L AS word_chars, 0L AS n_symbols, 1L AS n_lines, 0L AS n_dup_lines, 0L AS n_repeat_words, 9000000L AS n_stop_words) AS m, 'en' AS lang")
+    assert counts.select(quality_rules.verdict(F.col("m"), F.col("lang")).alias("v")).first().v == []
+
+
 def test_empty_tables(spark):
     docs = documents(spark, [])
     assert quality_rules.judge(docs).count() == 0

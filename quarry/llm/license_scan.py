@@ -9,8 +9,10 @@ smallest on a grid whose predictions there are right in at least ``PRECISION`` o
 
 Scanning is one projection over the text, without shuffle: a paragraph (a line) without any
 word of a gram that speaks for a family cannot be predicted as one; the others get their
-class probabilities, and a prediction counts only if a template of that family confirms it:
-it holds ``CONFIRM`` of the paragraph's grams, or the paragraph holds that share of it.
+class probabilities, and a prediction counts only if the best template of all families is one
+of that family: it holds ``CONFIRM`` of the paragraph's grams, or the paragraph holds that share
+of it, and the paragraph holds the words that tell the licence from its siblings and none that
+name a sibling (``MARKS``). Sentences that siblings share (``SHARED``) name no family.
 
 The fit and the tables in the plan are bounded by the templates and ``MAX_NEGATIVES``.
 
@@ -21,6 +23,7 @@ named as those added are replaced.
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 from pyspark.ml.classification import LogisticRegression
@@ -37,15 +40,22 @@ UNKNOWN = "unknown"
 
 #: Notices of well-known licences.
 TEMPLATES = {
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     ),
+    "BSD-2-Clause": (
+        "Released under the BSD 2-Clause License",
+        "Released under the Simplified BSD License",
+    ),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     ),
     "CC-BY-4.0": (
@@ -56,13 +66,44 @@ TEMPLATES = {
         "Licensed under CC BY-NC 4.0",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "CC-BY-NC-ND-4.0": (
+        "Licensed under CC BY-NC-ND 4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ),
+    "CC-BY-NC-SA-4.0": (
+        "Licensed under CC BY-NC-SA 4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    "CC-BY-ND-4.0": (
+        "Licensed under CC BY-ND 4.0",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ),
+    "CC-BY-SA-4.0": (
+        "Licensed under CC BY-SA 4.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ),
     "CC0-1.0": (
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work. CC0 1.0 Universal",
     ),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-        "You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/",
+    ),
+    "ISC": (
+        "Released under the ISC License",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "LGPL-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    "LGPL-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ),
     "MIT": (
         "Released under the MIT License",
@@ -73,6 +114,55 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/",
     ),
 }
+#: Sentences that stand alike in several of these licences.
+SHARED = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/",
+    "This work is licensed under the GNU General Public License",
+    "This work is licensed under a Creative Commons License",
+    "Released under the BSD License",
+)
+
+
+class Marks(NamedTuple):
+    """Word 1- and 2-grams: of every group of ``needs`` a paragraph must hold one, if the template
+    that confirms it does; of ``bars`` it must hold none."""
+
+    needs: tuple[tuple[str, ...], ...] = ()
+    bars: tuple[str, ...] = ()
+
+
+_AFFERO = ("affero", "agpl", "agplv3")
+_LESSER = ("lesser", "lgpl", "lgplv2", "lgplv2.1", "lgplv3", "library general", "gnu library")
+_V1, _V2 = ("version 1", "version 1.0", "v1", "gplv1"), ("version 2", "version 2.0", "v2", "v2.0", "gplv2", "gplv2.0", "gpl 2", "gpl 2.0")
+_V21 = ("version 2.1", "v2.1", "lgplv2.1", "lgpl 2.1")
+_V3 = ("version 3", "version 3.0", "v3", "v3.0", "gplv3", "gplv3.0", "lgplv3", "agplv3", "gpl 3", "gpl 3.0", "lgpl 3", "lgpl 3.0", "agpl 3", "agpl 3.0")
+_GPL = ("general public", "gpl", "gplv2", "gplv2.0", "gplv3", "gplv3.0")
+_BY, _OTHER_CC = ("by", "attribution"), ("1.0", "2.0", "2.5", "3.0")
+_NC = ("nc", "noncommercial", "non commercial")
+_ND = ("nd", "noderivatives", "noderivs", "no derivatives", "no derivs", "no derivative")
+_SA = ("sa", "sharealike", "share alike")
+#: What tells each licence from its siblings.
+MARKS = {
+    "AGPL-3.0": Marks((_AFFERO, _V3), (*_LESSER, *_V1, *_V2)),
+    "Apache-2.0": Marks((("apache",),), ("version 1.0", "version 1.1", "license 1.0", "license 1.1")),
+    "BSD-2-Clause": Marks((("2 clause", "two clause", "simplified bsd"),), ("3 clause", "4 clause", "0 clause", "1 clause")),
+    "BSD-3-Clause": Marks((("3 clause", "three clause", "neither the"),), ("2 clause", "4 clause", "0 clause", "1 clause", "clause clear")),
+    "CC-BY-4.0": Marks((_BY, ("4.0",)), (*_OTHER_CC, *_NC, *_ND, *_SA)),
+    "CC-BY-NC-4.0": Marks((_BY, ("4.0",), _NC), (*_OTHER_CC, *_ND, *_SA)),
+    "CC-BY-NC-ND-4.0": Marks((_BY, ("4.0",), _NC, _ND), (*_OTHER_CC, *_SA)),
+    "CC-BY-NC-SA-4.0": Marks((_BY, ("4.0",), _NC, _SA), (*_OTHER_CC, *_ND)),
+    "CC-BY-ND-4.0": Marks((_BY, ("4.0",), _ND), (*_OTHER_CC, *_NC, *_SA)),
+    "CC-BY-SA-4.0": Marks((_BY, ("4.0",), _SA), (*_OTHER_CC, *_NC, *_ND)),
+    "CC0-1.0": Marks(),
+    "GPL-2.0": Marks((_GPL, _V2), (*_AFFERO, *_LESSER, *_V1, *_V21, *_V3)),
+    "GPL-3.0": Marks((_GPL, _V3), (*_AFFERO, *_LESSER, *_V1, *_V2, *_V21)),
+    "ISC": Marks((("isc", "appear in"),)),
+    "LGPL-2.1": Marks((_LESSER, _V21), (*_AFFERO, *_V1, *_V2, *_V3)),
+    "LGPL-3.0": Marks((_LESSER, _V3), (*_AFFERO, *_V1, *_V2, *_V21)),
+    "MIT": Marks((("mit",),), ("no attribution", "mit 0", "accompanying documentation")),
+    "MPL-2.0": Marks((("mozilla", "mpl"),), ("version 1.0", "version 1.1", "v 1.1", "mpl 1.1", "mpl 1.0")),
+}
 #: Sentences with words of licences that name none.
 PLAIN = (
     "The driver has a license to drive in this country and may not drive without it",
@@ -100,8 +190,8 @@ def grams(text: Column) -> Column:
 
 
 def _fixed(spark: SparkSession) -> DataFrame:
-    """Every template and plain sentence with its family."""
-    rows = [(f, t) for f, ts in TEMPLATES.items() for t in ts] + [(UNKNOWN, t) for t in PLAIN]
+    """Every template with its family, and the sentences that name none."""
+    rows = [(f, t) for f, ts in TEMPLATES.items() for t in ts] + [(UNKNOWN, t) for t in (*SHARED, *PLAIN)]
     return spark.createDataFrame(rows, "family string, text string")
 
 
@@ -122,13 +212,29 @@ def _share(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(a, b)) / F.greatest(F.size(a), F.lit(1))
 
 
-def _confirmed(found: Column, family: str) -> Column:
-    """Whether a template of the family holds enough of the paragraph, or the other way round."""
-    tests = [(_share(found, t) >= CONFIRM) | (_share(t, found) >= CONFIRM) for t in (grams(F.lit(x)) for x in TEMPLATES[family])]
-    out = tests[0]
-    for t in tests[1:]:
-        out = out | t
-    return out
+def _own_grams(text: str) -> set[str]:
+    """``grams`` of a fixed text."""
+    w = re.findall(r"[^\W_]+(?:\.\d+)*", text.lower())
+    return {*w, *(f"{a} {b}" for a, b in zip(w, w[1:]))}
+
+
+def _confirmed(found: Column, family: Column) -> Column:
+    """Whether the best of all templates that may stand for the paragraph is one of the family.
+
+    A template may if it holds enough of the paragraph, or the other way round, and its marks do
+    not speak against it; the best has the largest share of the grams of both."""
+    none = F.array().cast("array<string>")
+    listed = lambda x: F.array(*[F.lit(g) for g in x]) if x else none
+    rows = []
+    for name, ts in TEMPLATES.items():
+        for t in ts:
+            own = _own_grams(t)
+            needs = [F.array(*[F.lit(g) for g in group]) for group in MARKS[name].needs if own & set(group)]
+            rows.append(F.struct(F.lit(name).alias("family"), listed(sorted(own)).alias("g"), (F.array(*needs) if needs else F.array().cast("array<array<string>>")).alias("needs"), listed(MARKS[name].bars).alias("bars")))
+    fits = lambda t: ((_share(found, t["g"]) >= CONFIRM) | (_share(t["g"], found) >= CONFIRM)) & F.forall(t["needs"], lambda x: F.arrays_overlap(x, found)) & ~F.arrays_overlap(t["bars"], found)
+    both = lambda t: F.size(F.array_intersect(found, t["g"])) / F.size(F.array_union(found, t["g"]))
+    ranked = F.transform(F.filter(F.array(*rows), fits), lambda t: F.struct(both(t).alias("share"), t["family"].alias("family")))
+    return F.coalesce(let(ranked, lambda r: F.exists(r, lambda x: (x["family"] == family) & (x["share"] == F.array_max(r)["share"]))), F.lit(False))
 
 
 def paragraphs(text: Column) -> Column:
@@ -190,13 +296,7 @@ def find(text: Column, model: Model) -> Column:
     judged = F.transform(lines, lambda x: let(grams(x["paragraph"]), lambda g: F.struct(x["paragraph"].alias("paragraph"), g.alias("g"), _best(g, model).alias("p"))))
     sure = F.filter(judged, lambda x: (x["p"]["family"] != UNKNOWN) & (x["p"]["score"] >= model.threshold))
 
-    def confirm(x: Column) -> Column:
-        out = F.lit(False)
-        for f in TEMPLATES:
-            out = F.when(x["p"]["family"] == f, _confirmed(x["g"], f)).otherwise(out)
-        return out
-
-    return F.transform(F.filter(sure, confirm), lambda x: F.struct(x["paragraph"].alias("paragraph"), x["p"]["family"].alias("family"), x["p"]["score"].alias("score")))
+    return F.transform(F.filter(sure, lambda x: _confirmed(x["g"], x["p"]["family"])), lambda x: F.struct(x["paragraph"].alias("paragraph"), x["p"]["family"].alias("family"), x["p"]["score"].alias("score")))
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:

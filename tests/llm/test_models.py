@@ -55,6 +55,35 @@ def test_license_scan(spark):
     assert S.scan(empty, S.fit(empty)).count() == 0
 
 
+SIBLINGS = {
+    "GPL-2.0": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+                "This work is licensed under the GNU General Public License, version 2."],
+    "LGPL-2.1": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."],
+    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
+    "AGPL-3.0": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "BSD-2-Clause": ["Released under the BSD 2-Clause License."],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
+    "CC-BY-NC-SA-4.0": ["Licensed under CC BY-NC-SA 4.0."],
+    "ISC": ["Released under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+         "You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/",
+         "This work is licensed under a Creative Commons Attribution 3.0 Unported License.", "Licensed under the Apache License, Version 1.1.",
+         "the Free Software Foundation, either version 3 of the License, or",
+         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."],
+}
+
+
+def test_sibling_licences_are_their_own_or_unknown(spark):
+    model = S.fit(spark.createDataFrame([(i, f"the river and the old house {i}") for i in range(40)], "doc_id long, text string"))
+    own = {f: [t + "." for t in ts] for f, ts in S.TEMPLATES.items()}
+    for of, least in ((SIBLINGS, 1), (own, 25)):
+        rows = [(f, t) for f, ts in of.items() for t in ts]
+        got = [(r.id, r.text, [x.family for x in r.licenses]) for r in S.scan(spark.createDataFrame(rows, "id string, text string"), model).collect()]
+        assert [x for x in got if x[2] not in ([], [x[0]])] == []
+        assert sum(x[2] == [x[0]] for x in got) >= least, got
+
+
 def best(word, pieces, fallback):
     score = [(0.0, 0)] + [None] * len(word)
     for e in range(1, len(word) + 1):

@@ -311,8 +311,10 @@ def dedup(docs: DataFrame, size: int = WORDS) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near copies the document with the smallest id stays."""
-    return dedup(docs).select(*docs.columns)
+    """Pipeline stage: of each group of near copies the document with the smallest id stays.
+
+    The shingles are op4's, so that the stage drops what op4 does not keep."""
+    return dedup(docs, size=WORDS).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import chat_format, language_id, license_scan, mixing, near_dedup, neighbours, packing, quality_rules, token_counts, warc
+from quarry.llm import binary_packing, chat_format, language_id, license_scan, mixing, near_dedup, neighbours, packing, quality_rules, token_counts, warc
 
 MODULES = {
     "op1_packing": packing,
@@ -19,6 +19,7 @@ MODULES = {
     "op8_quality_rules": quality_rules,
     "op9_warc": warc,
     "op10_mixing": mixing,
+    "op13_binary_packing": binary_packing,
 }
 
 

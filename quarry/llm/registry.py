@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import binary_packing, chat_format, divergence, language_id, license_scan, mixing, near_dedup, neighbours, packing, quality_rules, token_counts, warc
+from quarry.llm import binary_packing, chat_format, divergence, language_id, lexical_search, license_scan, mixing, near_dedup, neighbours, packing, quality_rules, token_counts, warc
 
 MODULES = {
     "op1_packing": packing,
@@ -20,6 +20,7 @@ MODULES = {
     "op9_warc": warc,
     "op10_mixing": mixing,
     "op11_source_divergence": divergence,
+    "op12_lexical_search": lexical_search,
     "op13_binary_packing": binary_packing,
 }
 

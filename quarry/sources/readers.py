@@ -9,11 +9,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from quarry.functions.coerce import na_to_null, to_date_lenient, to_long_id, to_number
 from quarry.operators.columns import rename
 from quarry.operators.merge import union_by_name
+from quarry.sources.catalogue import header_names, layouts, scan
 
 
 def _coerce(col: str, kind: str):
@@ -34,42 +34,48 @@ def _missing(kind: str):
                              "id": "bigint", "int": "int"}.get(kind, "string"))
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _typed(raw: DataFrame, schema: Mapping[str, str], keep_extra: bool = False) -> DataFrame:
+    """``raw`` by name: the declared columns coerced, absent ones as NULL of their kind."""
+    have = set(raw.columns)
+    cols = [(_coerce(_quoted(n), k) if n in have else _missing(k)).alias(n) for n, k in schema.items()]
+    return raw.select(*cols, *[F.col(_quoted(c)) for c in raw.columns if keep_extra and c not in schema])
+
+
+def _empty(spark: SparkSession, schema: Mapping[str, str]) -> DataFrame:
+    return spark.range(0).select(*[_missing(k).alias(n) for n, k in schema.items()])
+
+
 def read_csv_by_name(spark: SparkSession, path: str | Sequence[str], schema: Mapping[str, str],
-                     keep_extra: bool = False) -> DataFrame:
-    """CSV with a header, every field read as text, then selected BY NAME and
+                     keep_extra: bool = False, skip: int = 0, multi_line: bool = False) -> DataFrame:
+    """CSV files with headers, every field read as text, then selected BY NAME and
     coerced to the declared kind ('string', 'double', 'date', 'long', 'int').
-    Declared columns missing from the file become typed NULLs (no positional
-    binding, so files with reordered or missing columns load correctly)."""
-    if not isinstance(path, str):  # headers may differ: one read per file
-        return union_by_name([read_csv_by_name(spark, p, schema, keep_extra) for p in path])
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    have = set(raw.columns)
-    cols = []
-    for name, kind in schema.items():
-        if name in have:
-            cols.append(_coerce(name, kind).alias(name))
-        else:
-            cols.append(_missing(kind).alias(name))
-    extra = [F.col(c) for c in raw.columns if c not in schema] if keep_extra else []
-    return raw.select(*cols, *extra)
 
+    ``path`` is a file, a folder, a glob or a list of these; headers may differ from file to
+    file (``catalogue.layouts``: one scan per distinct header, united by name). Declared columns
+    that a file lacks become typed NULLs. ``skip`` records before each header are left out;
+    ``multi_line`` says that quoted fields may hold line breaks. Without any header: no rows."""
+    found = [_typed(scan(spark, x, multi_line), schema, keep_extra) for x in layouts(spark, path, skip)]
+    return union_by_name(found) if found else _empty(spark, schema)
 
-def stack_yearly(spark: SparkSession, files: Mapping[int, str], schema: Mapping[str, str],
+
+def stack_yearly(spark: SparkSession, files: Mapping[int, str | Sequence[str]], schema: Mapping[str, str],
                  renames: Mapping[str, str] | None = None, source_flag: str | None = None) -> DataFrame:
-    """S3: one read per yearly file (headers may differ between years), rename by
-    dictionary, coerce by name, tag a literal Year (and a 0/1 source flag), then
-    union by name."""
+    """S3: yearly files, folders, globs or lists of these (headers may differ between and within
+    years), renamed by dictionary, coerced by name, tagged with a literal Year (and a 0/1 source
+    flag), united by name."""
     frames = []
     for year, path in sorted(files.items()):
-        raw = spark.read.option("header", True).csv(path)
-        if renames:
-            raw = rename(raw, renames)
-        have = set(raw.columns)
-        cols = [(_coerce(n, k) if n in have else _missing(k)).alias(n) for n, k in schema.items()]
-        df = raw.select(*cols).withColumn("Year", F.lit(int(year)))
-        if source_flag:
-            df = df.withColumn(source_flag, F.lit(1))
-        frames.append(df)
+        for layout in layouts(spark, path):
+            raw = scan(spark, layout)
+            df = _typed(rename(raw, renames) if renames else raw, schema).withColumn("Year", F.lit(int(year)))
+            frames.append(df.withColumn(source_flag, F.lit(1)) if source_flag else df)
+    if not frames:
+        extra = {"Year": F.lit(None).cast("int")} | ({source_flag: F.lit(1)} if source_flag else {})
+        return _empty(spark, schema).withColumns(extra)
     return union_by_name(frames)
 
 
@@ -85,34 +91,15 @@ def latest_path(paths: Sequence[str]) -> str | None:
     return max(paths, key=os.path.basename) if paths else None
 
 
-def read_csv_after_preamble(spark: SparkSession, path: str, skip: int) -> DataFrame:
-    """One CSV text file with ``skip`` junk lines before the header, all fields as text.
-
-    Lines are read as text with their file and block offset; only the first block
-    of each file can hold the preamble, so the row numbering window covers one
-    block per file. The header line names the columns; the rest is parsed with
-    ``from_csv``."""
-    text = spark.read.text(path)
-    if len(text.inputFiles()) != 1:
-        raise ValueError(f"{path} is not one file; read files one by one, their headers may differ")
-    lines = (text
-             .select("value", F.col("_metadata.file_path").alias("_f"),
-                     F.col("_metadata.file_block_start").alias("_blk"),
-                     F.monotonically_increasing_id().alias("_id")))
-    first = lines.where(F.col("_blk") == 0).withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("_f").orderBy("_id")))
-    header_line = first.where(F.col("_rn") == skip + 1).select("value").first()
-    if header_line is None:
-        return spark.createDataFrame([], "value string")
-    # the header is CSV text itself: quoted names may hold commas
-    fields = ", ".join(f"`c{i}` STRING" for i in range(header_line[0].count(",") + 1))
-    head = spark.range(1).select(F.from_csv(F.lit(header_line[0]), fields).alias("h")).first().h
-    names = [h.strip() for h in head if h is not None]
-    body = (first.where(F.col("_rn") > skip + 1).select("value")
-            .unionByName(lines.where(F.col("_blk") > 0).select("value")))
-    ddl = ", ".join(f"`c{i}` STRING" for i in range(len(names)))
-    parsed = body.select(F.from_csv("value", ddl).alias("_r"))
-    return parsed.select(*[F.col(f"_r.c{i}").alias(n) for i, n in enumerate(names)])
+def read_csv_after_preamble(spark: SparkSession, path: str | Sequence[str], skip: int) -> DataFrame:
+    """CSV exports (files, folders, globs) with ``skip`` junk records, blank lines included,
+    before each header; all fields as text.
+
+    Quoted fields may hold commas and line breaks; an empty header cell keeps its place as
+    ``_c<position>``; columns of files with other headers are united by name. A file of this kind
+    is read by one task, since where a record starts is known only from the start of the file."""
+    found = [scan(spark, x._replace(names=header_names([n.strip() for n in x.names])), multi_line=True) for x in layouts(spark, path, skip)]
+    return union_by_name(found) if found else spark.createDataFrame([], "value string")
 
 
 _TEXT = T.StringType()

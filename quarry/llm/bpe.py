@@ -14,7 +14,7 @@ from typing import NamedTuple
 import numpy as np
 
 
-def _alphabet() -> dict[str, int]:
+def alphabet() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for: printable Latin-1
     characters stand for themselves, the other bytes, in order, for 256 and up."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -35,7 +35,7 @@ def core(path: str, pattern: str) -> Bpe:
 
     with open(path, encoding="utf-8") as f:
         model = json.load(f)["model"]
-    vocab, suffix, byte = model["vocab"], model.get("end_of_word_suffix") or "", _alphabet()
+    vocab, suffix, byte = model["vocab"], model.get("end_of_word_suffix") or "", alphabet()
 
     def raw(token: str) -> bytes:
         ends = suffix and token.endswith(suffix)

@@ -19,7 +19,6 @@ import functools
 import random
 import re
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -29,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quarry.llm import bpe
 from quarry.llm.common import cut_lineage, read, size_of_groups, use_package
 
 LENGTH = 4096
@@ -40,9 +40,6 @@ EPOCHS = 2
 CHILDREN = 12
 #: Bins filled below this share are packed again in the next level.
 WELL_FILLED = 0.98
-#: Entries that each of a worker's two memories holds, and the longest string remembered.
-CACHE = 400_000
-LONG = 40
 
 
 # ---------------------------------------------------------------- tokens
@@ -56,55 +53,48 @@ def _tokenizer(path: str):
     return t
 
 
-#: Fixed value: the tokenizer's own pattern, as far as it matters for printable ASCII in lower case.
-ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-
-
-class Memory(dict):
-    """Results of a function of a string, at most ``CACHE`` of them, of strings up to ``LONG``."""
-
-    def __init__(self, function):
-        super().__init__()
-        self.function = function
-
-    def __missing__(self, key: str) -> bytes:
-        found = self.function(key)
-        if len(self) >= CACHE:
-            self.clear()
-        if len(key) <= LONG:
-            self[key] = found
-        return found
+#: Characters that the tokenizer's normalizer only lower-cases, as Python does: letters in lower and
+#: upper case, and characters beyond ASCII that are neither letter, digit nor white space.
+LOWER, UPPER, OTHER = "a-zß-öø-ÿа-џ", "A-ZÀ-ÖØ-ÞЀ-Я", "¡-©«¬®-±´¶-¸»¿×÷‐-‧€"
+#: Fixed value: the tokenizer's own pattern, as far as it matters for these and ASCII.
+PRE_TOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LOWER}]+|[0-9]|[^\\s{LOWER}0-9]+")
+SIMPLE = re.compile(f"[ -~\n\t\r{LOWER}{UPPER}{OTHER}]*")
+#: Python splits at these, the tokenizer does not.
+SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 class Encoder:
-    """Ids of texts, as little-endian unsigned 32-bit numbers, with what was met remembered.
+    """Ids of texts, as little-endian unsigned 32-bit numbers.
 
-    The tokenizer drops white space and joins nothing across it, and its model sees one
-    pre-token at a time, so ids are remembered for runs without white space and, below, for
-    pre-tokens."""
+    The pre-tokens of a text, each with the blank that ``bpe.core`` has for the end of a word, are
+    one string whose words the BPE takes one by one. Texts of simple characters are cut by a
+    pattern; of others, each run without white space that is not simple is cut by the library
+    (which joins nothing across white space). Nothing is kept from text to text."""
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        tokenize = self.tokenizer.model.tokenize
-        self.words = Memory(lambda word: array("I", [t.id for t in tokenize(word)]).tobytes())
-        self.runs = Memory(self._run)
-
-    def _run(self, run: str) -> bytes:
-        if run.isascii() and run.isprintable():
-            parts = ASCII.findall(run.lower())
-        else:
-            parts = [x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(run))]
-        return b"".join(map(self.words.__getitem__, parts))
+        self.model = bpe.core(path, r"[^ ]+ ")
+        self.byte = bpe.alphabet()
+
+    def _by_library(self, run: str) -> list[str]:
+        shown = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(run))
+        return [bytes(map(self.byte.__getitem__, x)).decode() for x, _ in shown]
+
+    def _pre_tokens(self, text: str) -> list[str]:
+        if SIMPLE.fullmatch(text):
+            return PRE_TOKEN.findall(text.lower())
+        if SEPARATORS.search(text):
+            return self._by_library(text)
+        found = []
+        for run in text.split():
+            found += PRE_TOKEN.findall(run.lower()) if SIMPLE.fullmatch(run) else self._by_library(run)
+        return found
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
+        found = self._pre_tokens(text) if text else []
+        if not found:
             return b""
-        if SEPARATORS.search(text):  # Python splits there, the tokenizer does not
-            return self._run(text)
-        return b"".join(map(self.runs.__getitem__, text.split()))
-
-
-SEPARATORS = re.compile("[\x1c-\x1f]")
+        return self.model.ids[self.model.core.encode_ordinary(" ".join(found) + " ")].tobytes()
 
 
 @functools.cache

@@ -21,12 +21,15 @@ def test_encoder_is_the_tokenizer():
         assert e.encode(t) == np.array(ids(t), "<u4").tobytes(), t
 
 
-def test_memory_stays_bounded(monkeypatch):
-    monkeypatch.setattr(P, "CACHE", 10)
-    m = P.Memory(str.encode)
-    for i in range(100):
-        assert m[str(i)] == str(i).encode()
-        assert len(m) <= 10
+def test_simple_characters_are_those_of_the_tokenizer():
+    e = P.encoder(P.tokenizer_path())
+    rng = random.Random(6)
+    simple = [chr(i) for i in range(0x10FFFF) if P.SIMPLE.fullmatch(chr(i))]
+    for _ in range(3000):
+        t = "".join(rng.choice(simple) if rng.random() < 0.7 else rng.choice("ab '.9\n") for _ in range(30))
+        assert e.encode(t) == np.array(ids(t), "<u4").tobytes(), t
+    for c in simple:
+        assert e.encode(f"a{c}b{c} {c}") == np.array(ids(f"a{c}b{c} {c}"), "<u4").tobytes(), c
 
 
 def check(docs_rows, packed, length):

@@ -8,16 +8,21 @@ L2-normalised, score = dot product.
 
 Plan shape — no all-pairs product:
   * work on distinct texts, carrying each text's row multiplicity for the idf;
-  * postings (text, gram, weight) are a long table; df is a hash aggregate;
-  * threshold joins use exact prefix filtering (Bayardo, Ma, Srikant 2007):
-    grams are ordered rare-first and only the prefix whose remaining suffix still
-    has norm >= t is indexed. Two unit vectors with cosine >= t must share a gram
-    that is in both prefixes, so joining prefix postings on the gram yields a
-    complete candidate set while the frequent grams (the skewed ones) stay out of
-    the join. Candidates are then scored exactly on the full postings;
-  * top-k (J8) runs the threshold join with a falling threshold only for the
-    left texts that still have fewer than k hits; everything found at threshold
-    t dominates everything not found, so the top-k is exact.
+  * postings (text, gram, weight) are a long table; df is a hash aggregate. A posting also
+    carries ``ord``, its place in one order of all grams, rare ones first, and ``rest``, the
+    norm of what follows it in its vector;
+  * threshold joins use exact prefix filtering (Bayardo, Ma, Srikant 2007): two unit vectors
+    with cosine >= t share a gram that is in both prefixes, a prefix being the grams up to where
+    the rest has norm < t. The prefix join keeps its partial products: of a pair it has the
+    exact product up to the last gram met, and by Cauchy and Schwarz the rest adds at most the
+    product of both rests there. What cannot reach t (or, where only the best is asked for, the
+    best partial product of its left text) goes; the others get the products of the grams
+    behind, and nothing is multiplied twice;
+  * a gram of many texts is dealt to a grid of parts of both sides, so that no task joins a hot
+    gram alone;
+  * top-k (J8) has a threshold of each left text's own: the k-th score among a few right texts of
+    the greatest weights in its rarest grams. Nothing below that can be among the first k, so
+    one threshold join with it is complete.
 """
 
 from __future__ import annotations
@@ -62,42 +67,71 @@ def tfidf_docs(left: DataFrame, right: DataFrame, left_text: str, right_text: st
 
 
 def tfidf_postings(docs: DataFrame, n_min: int = 3, n_max: int = 4) -> tuple[DataFrame, DataFrame]:
-    """Normalised postings for both sides: (text, gram, w, df) where ``text`` is the
-    text id from ``tfidf_docs``. The idf counts every input row of both sides."""
+    """Normalised postings for both sides: (text, gram, w, df, ord, rest) where ``text`` is the text
+    id from ``tfidf_docs``. The idf counts every input row of both sides, and the norm every gram of
+    a text; but only grams that both sides have are kept, and count for ``rest``: no other is ever
+    multiplied. Checkpointed, as every join below reads them several times."""
     n = docs.agg(F.sum("mult")).scalar()  # one value: a scalar subquery, not a join
     grams = (docs.select("side", F.col("tid").alias("text"), "mult",
                          F.explode(char_wb_ngrams(F.col("text"), n_min, n_max)).alias("gram"))
              .groupBy("side", "text", "gram").agg(F.count(F.lit(1)).alias("tf"), F.first("mult").alias("mult")))
-    dfreq = grams.groupBy("gram").agg(F.sum("mult").alias("df"))
-    idf = dfreq.select("gram", "df", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
+    grams = cut_lineage(grams)
+    dfreq = grams.groupBy("gram").agg(F.sum("mult").alias("df"), (F.min("side") != F.max("side")).alias("shared"))
+    idf = dfreq.select("gram", "df", "shared", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
     w = grams.join(idf, "gram").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = w.groupBy("side", "text").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    post = (w.join(norm, ["side", "text"])
-            .select("side", "text", "gram", (F.col("w") / F.col("_norm")).alias("w"), "df"))
+    own = Window.partitionBy("side", "text")
+    later = own.orderBy(F.desc("df"), F.desc("gram")).rowsBetween(Window.unboundedPreceding, -1)
+    post = w.withColumn("_norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(own))).where("shared")
+    post = post.withColumn("w", F.col("w") / F.col("_norm")).withColumn("rest", F.sqrt(F.coalesce(F.sum(F.col("w") * F.col("w")).over(later), F.lit(0.0))))
+    post = cut_lineage(post.select("side", "text", "gram", "w", "df", F.struct("df", "gram").alias("ord"), "rest"))
     return (post.where(F.col("side") == "L").drop("side"),
             post.where(F.col("side") == "R").drop("side"))
 
 
-def _prefix(post: DataFrame, t: float) -> DataFrame:
-    """Postings in the indexable prefix for threshold t (rare grams first)."""
-    suffix = F.sum(F.col("w") * F.col("w")).over(
-        Window.partitionBy("text").orderBy(F.desc("df"), F.desc("gram"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (post.withColumn("_suffix", suffix)
-            .where(F.col("_suffix") >= F.lit(t * t - EPS)).select("text", "gram"))
+#: Texts of a gram above which its join is dealt to a grid of parts.
+HOT_GRAM = 4096
 
 
-def threshold_pairs(lpost: DataFrame, rpost: DataFrame, t: float, tolerance: float = EPS) -> DataFrame:
-    """All (ltext, rtext, score) with cosine >= t. Sums of squares are rounded, and by the
-    order of summation: ``tolerance`` below t still counts as reaching it."""
-    lp = _prefix(lpost, t).withColumnRenamed("text", "ltext")
-    rp = _prefix(rpost, t).withColumnRenamed("text", "rtext")
-    cand = lp.join(rp, "gram").select("ltext", "rtext").distinct()
-    lfull = lpost.select(F.col("text").alias("ltext"), "gram", F.col("w").alias("wl"))
+def _gram_join(l: DataFrame, r: DataFrame) -> DataFrame:
+    """Postings of both sides that share a gram: ltext, rtext, ord, wl, wr, restl, restr and what else
+    either side has. A gram of df texts is dealt to ceil(df / HOT_GRAM) parts a side; each part of
+    one meets each of the other."""
+    parts = F.ceil(F.col("df") / F.lit(HOT_GRAM)).cast("int")
+    own, other = F.pmod(F.xxhash64("text"), parts).cast("int"), F.explode(F.sequence(F.lit(0), parts - 1))
+
+    def side(post, text, w, rest, mine, theirs, *more):
+        post = post.withColumn(mine, own).withColumn(theirs, other)
+        return post.select("gram", mine, theirs, F.col("text").alias(text), F.col("w").alias(w), F.col("rest").alias(rest), *more)
+
+    return side(l, "ltext", "wl", "restl", "_a", "_b", "ord", *[c for c in l.columns if c == "least"]) \
+        .join(side(r, "rtext", "wr", "restr", "_b", "_a"), ["gram", "_a", "_b"])
+
+
+def _with_tails(pairs: DataFrame, lpost: DataFrame, rpost: DataFrame) -> DataFrame:
+    """pairs (ltext, rtext, partial, last) with ``score``: the partial product and those of the grams
+    behind ``last``, the last gram that it has."""
+    lfull = lpost.select(F.col("text").alias("ltext"), "gram", "ord", F.col("w").alias("wl"))
     rfull = rpost.select(F.col("text").alias("rtext"), "gram", F.col("w").alias("wr"))
-    scored = (cand.join(lfull, "ltext").join(rfull, ["rtext", "gram"])
-              .groupBy("ltext", "rtext").agg(F.sum(F.col("wl") * F.col("wr")).alias("score")))
-    return scored.where(F.col("score") >= F.lit(t - tolerance))
+    tails = pairs.join(lfull, "ltext").where(F.col("ord") > F.col("last")).join(rfull, ["rtext", "gram"])
+    parts = pairs.select("ltext", "rtext", F.col("partial").alias("x")).unionByName(tails.select("ltext", "rtext", (F.col("wl") * F.col("wr")).alias("x")))
+    return parts.groupBy("ltext", "rtext").agg(F.sum("x").alias("score"))
+
+
+def threshold_pairs(lpost: DataFrame, rpost: DataFrame, t: float, tolerance: float = EPS, best_only: bool = False) -> DataFrame:
+    """All (ltext, rtext, score) with cosine >= t; of each left text at least its best ones if
+    ``best_only``. Sums of squares are rounded, and by the order of summation: ``tolerance``
+    below t still counts as reaching it."""
+    prefix = F.col("rest") * F.col("rest") + F.col("w") * F.col("w") >= F.lit(t * t - EPS)
+    met = _gram_join(lpost.where(prefix), rpost.where(prefix))
+    pairs = met.groupBy("ltext", "rtext").agg(
+        F.sum(F.col("wl") * F.col("wr")).alias("partial"), F.min(F.col("restl") * F.col("restr")).alias("more"), F.max("ord").alias("last"))
+    reach = F.col("partial") + F.col("more") + EPS
+    pairs = pairs.where(reach >= F.lit(t - tolerance))
+    if best_only:
+        pairs = cut_lineage(pairs)
+        top = pairs.groupBy("ltext").agg(F.max("partial").alias("_top"))
+        pairs = pairs.join(top, "ltext").where(reach >= F.col("_top")).drop("_top")
+    return _with_tails(pairs.drop("more"), lpost, rpost).where(F.col("score") >= F.lit(t - tolerance))
 
 
 def tfidf_match(left: DataFrame, right: DataFrame, left_text: str, right_text: str,
@@ -108,7 +142,7 @@ def tfidf_match(left: DataFrame, right: DataFrame, left_text: str, right_text: s
     ``tolerance`` of it, as rounding may leave an exact tie, reaches it)."""
     docs = tfidf_docs(left, right, left_text, right_text)
     lpost, rpost = tfidf_postings(docs)
-    pairs = threshold_pairs(lpost, rpost, threshold, tolerance)
+    pairs = threshold_pairs(lpost, rpost, threshold, tolerance, best_only=True)
     best = pairs.groupBy("ltext").agg(F.max("score").alias(score_col))
     ldocs = docs.where(F.col("side") == "L").select(F.col("text").alias("_t"), F.col("tid").alias("ltext"))
     best = best.join(ldocs, "ltext").drop("ltext")
@@ -116,45 +150,51 @@ def tfidf_match(left: DataFrame, right: DataFrame, left_text: str, right_text: s
     return out.withColumn(flag_col, F.when(F.col(score_col) >= F.lit(threshold - tolerance), 1).otherwise(0))
 
 
-def top_k_texts(lpost: DataFrame, rpost: DataFrame, k: int, rmult: DataFrame | None = None,
-                schedule: Sequence[float] = (0.5, 0.2, 0.0)) -> DataFrame:
-    """(ltext, rtext, score) for every left text: all right texts with score >= t
-    for the first t in ``schedule`` at which the found right texts stand for at
-    least ``k`` right rows (``rmult``: text -> rows; 1 each when absent). The last
-    step, t = 0, keeps every right text that shares a gram.
-
-    Each round's result is checkpointed into the shared checkpoint folder, so a
-    round's plan never re-runs the previous rounds and a lost executor
-    recomputes from durable data. Rounds stop once no left text is left."""
-    remaining = cut_lineage(lpost.select("text").distinct())
-    found = []
-    for i, t in enumerate(schedule):
-        lp = lpost.join(remaining, "text", "left_semi")
-        pairs = threshold_pairs(lp, rpost, t) if t > 0 else _share_any(lp, rpost)
-        if i == len(schedule) - 1:
-            found.append(pairs)
-            break
-        if rmult is not None:
-            pairs = pairs.join(rmult.select(F.col("text").alias("rtext"), "mult"), "rtext")
-        else:
-            pairs = pairs.withColumn("mult", F.lit(1))
-        counted = cut_lineage(pairs.withColumn(
-            "_c", F.sum(F.least(F.col("mult"), F.lit(k))).over(Window.partitionBy("ltext"))))
-        found.append(counted.where(F.col("_c") >= k).drop("_c", "mult"))
-        done = counted.where(F.col("_c") >= k).select(F.col("ltext").alias("text")).distinct()
-        remaining = cut_lineage(remaining.join(done, "text", "left_anti"))
-        if remaining.isEmpty():
-            break
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def _share_any(lpost: DataFrame, rpost: DataFrame) -> DataFrame:
-    l = lpost.select(F.col("text").alias("ltext"), "gram", F.col("w").alias("wl"))
-    r = rpost.select(F.col("text").alias("rtext"), "gram", F.col("w").alias("wr"))
-    return l.join(r, "gram").groupBy("ltext", "rtext").agg(F.sum(F.col("wl") * F.col("wr")).alias("score"))
+#: Postings that a left text looks at, for each of the k, to find its own threshold.
+SEEDS = 10
+
+
+def _least_scores(lpost: DataFrame, rpost: DataFrame, k: int, rmult: DataFrame) -> DataFrame:
+    """text, least: a score that k right rows reach for each left text; no row for a left text that
+    met fewer than k.
+
+    Of every gram the right texts of the greatest weights are looked at, and of a left text its
+    rarest grams until these are ``SEEDS`` * k: enough for a bound, however common the grams."""
+    limit = SEEDS * k
+    heavy = rpost.withColumn("_n", F.row_number().over(Window.partitionBy("gram").orderBy(F.desc("w"), "text"))).where(F.col("_n") <= limit)
+    count = heavy.groupBy("gram").agg(F.count(F.lit(1)).alias("_c"))
+    before = F.sum("_c").over(Window.partitionBy("text").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1))
+    few = lpost.join(count, "gram").withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < limit)
+    seeds = (few.select(F.col("text").alias("ltext"), "gram").join(heavy.select(F.col("text").alias("rtext"), "gram"), "gram")
+             .select("ltext", "rtext").distinct())
+    lfull = lpost.select(F.col("text").alias("ltext"), "gram", F.col("w").alias("wl"))
+    rfull = rpost.select(F.col("text").alias("rtext"), "gram", F.col("w").alias("wr"))
+    scored = seeds.join(lfull, "ltext").join(rfull, ["rtext", "gram"]).groupBy("ltext", "rtext").agg(F.sum(F.col("wl") * F.col("wr")).alias("score"))
+    scored = scored.join(rmult.select(F.col("text").alias("rtext"), "mult"), "rtext")
+    best = Window.partitionBy("ltext").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = scored.withColumn("_rows", F.sum(F.least(F.col("mult"), F.lit(k))).over(best))
+    return rows.where(F.col("_rows") >= k).groupBy(F.col("ltext").alias("text")).agg(F.max("score").alias("least"))
+
+
+def top_k_texts(lpost: DataFrame, rpost: DataFrame, k: int, rmult: DataFrame | None = None) -> DataFrame:
+    """(ltext, rtext, score) of every left text: at least all right texts among its first ``k`` right
+    rows (``rmult``: text -> rows; 1 each when absent). A left text that shares grams with fewer
+    than k rows has all of these.
+
+    Each left text's threshold is its own (``_least_scores``), so the prefix is taken of the left
+    side only, and meets all postings of its grams."""
+    if rmult is None:
+        rmult = rpost.select("text").distinct().withColumn("mult", F.lit(1))
+    least = _least_scores(lpost, rpost, k, rmult)
+    own = lpost.join(least, "text", "left").withColumn("least", F.greatest(F.coalesce("least", F.lit(0.0)) - 2 * EPS, F.lit(0.0)))
+    own = cut_lineage(own.where(F.col("rest") * F.col("rest") + F.col("w") * F.col("w") >= F.col("least") * F.col("least") - EPS))
+    met = _gram_join(own, rpost)
+    # a right vector has no more behind than what its grams met so far leave of its norm
+    behind = F.least(F.min("restr"), F.sqrt(F.greatest(F.lit(0.0), 1 - F.sum(F.col("wr") * F.col("wr")))))
+    pairs = met.groupBy("ltext", "rtext").agg(
+        F.sum(F.col("wl") * F.col("wr")).alias("partial"), (F.min("restl") * behind).alias("more"), F.max("ord").alias("last"), F.first("least").alias("least"))
+    pairs = pairs.where(F.col("partial") + F.col("more") + EPS >= F.col("least"))
+    return _with_tails(pairs.select("ltext", "rtext", "partial", "last"), lpost, rpost)
 
 
 def shortlist_rerank(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
@@ -168,28 +208,33 @@ def shortlist_rerank(left: DataFrame, right: DataFrame, left_id: str, right_id:
     Output: left_id, rerank_score (best dense cosine), rerank_flag."""
     docs = tfidf_docs(left, right, left_text, right_text)
     lpost, rpost = tfidf_postings(docs)
-    lpost, rpost = cut_lineage(lpost), cut_lineage(rpost)
     rdocs = docs.where(F.col("side") == "R")
     text_pairs = top_k_texts(lpost, rpost, k, rdocs.select(F.col("tid").alias("text"), "mult"))
-    # a right text can stand for many rows: only its k smallest ids can enter a top-k
+    # texts that rows of strictly better texts leave room for, then at most k rows of each: a
+    # right text can stand for many rows, of which only its k smallest ids can enter a top-k
+    scored = (text_pairs.select("ltext", "rtext", F.round("score", score_digits).alias("_s"))
+              .join(rdocs.select(F.col("tid").alias("rtext"), F.least("mult", F.lit(k)).alias("_m")), "rtext"))
+    up_to = F.sum("_m").over(Window.partitionBy("ltext").orderBy(F.desc("_s")).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    equal = F.sum("_m").over(Window.partitionBy("ltext", "_s"))
+    scored = scored.withColumn("_better", up_to - equal).where(F.col("_better") < k)
     rk = (right.select(F.col(right_text).alias("_t"), F.col(right_id).alias("_rid"))
           .join(rdocs.select(F.col("text").alias("_t"), F.col("tid").alias("rtext")), "_t").drop("_t")
           .withColumn("_r", F.row_number().over(Window.partitionBy("rtext").orderBy("_rid")))
           .where(F.col("_r") <= k).drop("_r"))
     ldocs = docs.where(F.col("side") == "L").select(F.col("text").alias("_t"), F.col("tid").alias("ltext"))
-    lrows = (left.select(F.col(left_id).alias("_lid"), F.col(left_text).alias("_t"))
-             .join(ldocs, "_t").drop("_t"))
-    scored = (lrows.join(text_pairs, "ltext").join(rk, "rtext")
-              .select("_lid", "_rid", F.round("score", score_digits).alias("_s")))
+    found = scored.join(rk, "rtext").select("ltext", "_rid", "_s")
     # rows with no shared gram: the k smallest right ids overall (bounded, 2k rows)
     zero_ids = (right.select(F.col(right_id).alias("_rid")).orderBy("_rid").limit(2 * k)
                 .agg(F.collect_list("_rid")).scalar())
-    zero_pairs = lrows.select("_lid", F.explode(zero_ids).alias("_rid"), F.lit(0.0).alias("_s"))
-    allc = scored.unionByName(zero_pairs)
-    allc = allc.groupBy("_lid", "_rid").agg(F.max("_s").alias("_s"))
+    zero_pairs = ldocs.select("ltext", F.explode(zero_ids).alias("_rid"), F.lit(0.0).alias("_s"))
+    allc = found.unionByName(zero_pairs).groupBy("ltext", "_rid").agg(F.max("_s").alias("_s"))
     top = (allc.withColumn("_rn", F.row_number().over(
-        Window.partitionBy("_lid").orderBy(F.desc("_s"), F.asc("_rid"))))
+        Window.partitionBy("ltext").orderBy(F.desc("_s"), F.asc("_rid"))))
         .where(F.col("_rn") <= k))
+    # all left rows of a text have its first k; they are expanded last
+    lrows = (left.select(F.col(left_id).alias("_lid"), F.col(left_text).alias("_t"))
+             .join(ldocs, "_t").drop("_t"))
+    top = lrows.join(top.select("ltext", "_rid"), "ltext").select("_lid", "_rid")
     lv = left.select(F.col(left_id).alias("_lid"), F.col(left_vec).alias("_lv"))
     rv = right.select(F.col(right_id).alias("_rid"), F.col(right_vec).alias("_rv"))
     dense = top.join(lv, "_lid").join(rv, "_rid").withColumn("_d", dense_cosine("_lv", "_rv"))

@@ -9,15 +9,15 @@ flag = 1 when the left row's key has at least one period that overlaps the left
   * otherwise               -> overlap
 Keys without periods get 0.
 
-Plan shape (exact, no per-key arrays, no pair explosion):
-  * the flag depends only on (key, begin, end), so it is computed on the distinct
-    windows and joined back;
-  * per key, three hash-aggregated facts settle most windows: any period, any
-    NULL start, earliest start among open-ended periods;
-  * closed periods need "max term among periods with start <= end >= begin": an
-    as-of prefix maximum. Periods and windows are merged per key and split into
-    time buckets; a running max inside each (key, bucket) plus a carried max from
-    earlier buckets gives the prefix max. A hot key is thus spread over its buckets.
+Plan shape (exact, no per-key arrays, no pair explosion). An open end is the last day there is, a
+NULL start the first with an open end, and a window without a bound reaches from the first day to
+the last; then a window is hit if the latest end among the periods that start by its end is not
+before its begin:
+  * the starts of periods and the ends of windows are events of one union, reduced on the map side
+    to one row per (key, day): a hot key has as many rows as there are days;
+  * a running maximum over the days of a key gives the latest end so far;
+  * the left rows look their day up, an equality on (key, day) in which a hot key is spread by its
+    days, and windows without a bound, which all end on one day, by a salt.
 """
 
 from __future__ import annotations
@@ -33,66 +33,30 @@ def overlaps(begin: Column, end: Column, start: Column, term: Column) -> Column:
             | (~(term.isNotNull() & (term < begin)) & ~(start > end)))
 
 
-def _bucket(d: Column) -> Column:
-    # month index; fine enough that a hot key spreads over many tasks
-    return F.year(d) * 12 + F.month(d)
+#: The first and the last day there are, and the parts that the last is dealt to.
+FIRST, LAST, SALT = "0001-01-01", "9999-12-31", 32
 
 
 def interval_overlap_flag(left: DataFrame, key: str, begin: str, end: str,
                           periods: DataFrame, p_key: str, start: str, term: str,
                           out: str = "flag") -> DataFrame:
     """Add a 0/1 column ``out`` to ``left`` (row count preserved)."""
-    win = (left.select(F.col(key).alias("_k"), F.col(begin).cast("date").alias("_b"),
-                       F.col(end).cast("date").alias("_e"))
-           .where(F.col("_k").isNotNull()).distinct())
-    per = periods.select(F.col(p_key).alias("_k"), F.col(start).cast("date").alias("_s"),
-                         F.col(term).cast("date").alias("_t")).where(F.col("_k").isNotNull())
-
-    # one shuffle of the periods: per (key, start) the latest term and whether an
-    # open-ended period starts there; the per-key facts come from that reduced table
-    by_start = per.groupBy("_k", "_s").agg(F.max("_t").alias("_t"),
-                                            F.max(F.col("_t").isNull()).alias("_open"))
-    facts = by_start.groupBy("_k").agg(
-        F.lit(True).alias("_has"),
-        F.max(F.col("_s").isNull()).alias("_null_start"),
-        F.min(F.when(F.col("_open"), F.col("_s"))).alias("_open_min_start"))
-    closed = by_start.where(F.col("_s").isNotNull() & F.col("_t").isNotNull()).select("_k", "_s", "_t")
-    closed = closed.withColumn("_bk", _bucket(F.col("_s")))
-    q = win.where(F.col("_b").isNotNull() & F.col("_e").isNotNull())
-    events = (closed.select("_k", F.col("_s").alias("_d"), "_bk", "_t",
-                            F.lit(0).alias("_is_q"), F.lit(None).cast("date").alias("_qb"))
-              .unionByName(q.select("_k", F.col("_e").alias("_d"), _bucket(F.col("_e")).alias("_bk"),
-                                    F.lit(None).cast("date").alias("_t"), F.lit(1).alias("_is_q"),
-                                    F.col("_b").alias("_qb"))))
-    # running max inside (key, bucket); periods sort before windows on equal dates
-    run = events.withColumn("_local", F.max("_t").over(
-        Window.partitionBy("_k", "_bk").orderBy("_d", "_is_q")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    qres = run.where(F.col("_is_q") == 1).select("_k", "_bk", F.col("_qb").alias("_b"),
-                                                F.col("_d").alias("_e"), "_local")
-    # carry: max term over strictly earlier buckets. One row per (key, bucket) on
-    # either side, so a key holds at most its number of distinct months here.
-    bsum = closed.groupBy("_k", "_bk").agg(F.max("_t").alias("_bt"), F.lit(0).alias("_is_q"))
-    qbk = qres.select("_k", "_bk").distinct().select(
-        "_k", "_bk", F.lit(None).cast("date").alias("_bt"), F.lit(1).alias("_is_q"))
-    carry = (bsum.unionByName(qbk)
-             .withColumn("_carry", F.max("_bt").over(
-                 Window.partitionBy("_k").orderBy("_bk", F.desc("_is_q"))
-                 .rowsBetween(Window.unboundedPreceding, -1)))
-             .where(F.col("_is_q") == 1).select("_k", "_bk", "_carry"))
-    closed_hit = (qres.join(carry, ["_k", "_bk"], "left")
-                  .select("_k", "_b", "_e",
-                          (F.greatest("_local", "_carry") >= F.col("_b")).alias("_closed_hit")))
-
-    res = (win.join(facts, "_k", "left")
-           .join(closed_hit, ["_k", "_b", "_e"], "left"))
-    hit = (F.coalesce(F.col("_has"), F.lit(False))
-           & (F.col("_b").isNull() | F.col("_e").isNull() | F.coalesce(F.col("_null_start"), F.lit(False))
-              | F.coalesce(F.col("_open_min_start") <= F.col("_e"), F.lit(False))
-              | F.coalesce(F.col("_closed_hit"), F.lit(False))))
-    flags = res.select("_k", "_b", "_e", hit.cast("int").alias(out))
-
-    l = left.withColumns({"_k": F.col(key), "_b": F.col(begin).cast("date"), "_e": F.col(end).cast("date")})
-    j = l.join(flags, l["_k"].eqNullSafe(flags["_k"]) & l["_b"].eqNullSafe(flags["_b"])
-               & l["_e"].eqNullSafe(flags["_e"]), "left")
-    return j.select(*[l[c] for c in left.columns], F.coalesce(flags[out], F.lit(0)).alias(out))
+    first, last = F.lit(FIRST).cast("date"), F.lit(LAST).cast("date")
+    b, e = F.col(begin).cast("date"), F.col(end).cast("date")
+    unbounded = b.isNull() | e.isNull()
+    day = F.when(unbounded, last).otherwise(e)
+    hashed = [f"`{c}`" for c, kind in left.dtypes if "map<" not in kind]
+    rows = left.withColumns({"_k": F.col(key), "_b": F.when(unbounded, first).otherwise(b), "_d": day,
+                             "_salt": F.when(day == last, F.pmod(F.xxhash64(*hashed), F.lit(SALT))).otherwise(F.lit(0).cast("long"))})
+    s, t = F.col(start).cast("date"), F.col(term).cast("date")
+    starts = periods.select(F.col(p_key).alias("_k"), F.coalesce(s, first).alias("_d"),
+                            F.when(s.isNull() | t.isNull(), last).otherwise(t).alias("_t"))
+    ends = left.select(F.col(key).alias("_k"), day.alias("_d"), F.lit(None).cast("date").alias("_t"))
+    days = starts.unionByName(ends).where(F.col("_k").isNotNull()).groupBy("_k", "_d").agg(F.max("_t").alias("_t"))
+    so_far = Window.partitionBy("_k").orderBy("_d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    salts = F.when(F.col("_d") == last, F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    days = (days.select("_k", "_d", F.max("_t").over(so_far).alias("_until")).where(F.col("_until").isNotNull())
+            .withColumn("_salt", F.explode(salts)))
+    found = rows.join(days, ["_k", "_d", "_salt"], "left")
+    flag = F.coalesce(F.col("_until") >= F.col("_b"), F.lit(False)).cast("int")
+    return found.select(*[rows[c] for c in left.columns], flag.alias(out))

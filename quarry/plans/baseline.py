@@ -5,16 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quarry.functions import coerce as C
 from quarry.functions import finance as FN
 from quarry.functions import temporal as TM
-from quarry.operators import agg as A
 from quarry.operators import merge as M
+from quarry.operators.fanin import fan_in
 from quarry.plans.bindings import exact_mean, r4
 from quarry.plans.recipes_sql import _solvency
 from quarry.plans.recipes_sql import r4 as sql_r4
-from quarry.session import Tables
+from quarry.session import Tables, cut_lineage
 
 #: The means: all but ``share`` are exact sums over counts.
 MEANS = ("price gross ret other qty disc tax lines acct max_price min_price implied implied_clean late "
@@ -56,19 +57,28 @@ def baseline_rows(t: Tables) -> DataFrame:
 
 
 def average_baseline(rows: DataFrame) -> DataFrame:
-    """One record per (uid, state): means at that grain, all else at the grain of the uid."""
-    period = rows.where(F.col("row_type") == "CAH_Year")
-    means = period.dropna(subset=["uid", "state"]).groupBy("uid", "state").agg(*[(F.avg(m) if m == "share" else exact_mean(m)).alias(m) for m in MEANS])
-    order = F.struct("b", "o_orderkey")
-    one = period.groupBy("uid").agg(
-        A.first_non_null("o_orderstatus", order).alias("first_status"), A.first_non_null("is_cah", order).alias("is_cah"),
-        A.first_non_null("converter", order).alias("converter"), A.last_non_null("distance", "e", "o_orderkey").alias("distance"),
-        *A.year_span("y", "year_"), A.any_flag("urgent").alias("any_urgent"))
-    meta = rows.where("converter").groupBy("uid").agg(A.first_non_null("event", order).alias("event_date"), A.first_non_null("pre", order).alias("pre_raw"))
-    out = M.backfill_left(means, one, "uid")
-    for c in ("o_orderpriority", "c_mktsegment", "o_orderstatus"):
-        out = M.backfill_left(out, A.group_mode(period, "uid", c, f"top_{c[2:]}"), "uid")
-    out = M.backfill_left(out, meta, "uid")
+    """One record per (uid, state): means at that grain, all else at the grain of the uid.
+
+    ``rows`` should be a stage on disk: two aggregates read it, one for the means and spans, one
+    (``fan_in``) for all modes, first and last values."""
+    in_period = F.col("row_type") == "CAH_Year"
+    own = Window.partitionBy("uid")
+    means = rows.where(in_period).groupBy("uid", "state").agg(
+        *[(F.avg(m) if m == "share" else exact_mean(m)).alias(m) for m in MEANS],
+        F.count("y").alias("_years"), F.min("y").alias("_first"), F.max("y").alias("_last"), F.sum("urgent").alias("_urgent"))
+    # the spans are those of the uid, over all its states, known or not
+    means = means.withColumns({
+        "year_count": F.sum("_years").over(own), "year_min": F.min("_first").over(own), "year_max": F.max("_last").over(own),
+        "any_urgent": F.coalesce((F.sum("_urgent").over(own) > 0).cast("int"), F.lit(0))}).drop("_years", "_first", "_last", "_urgent")
+    period = lambda c: F.when(in_period, F.col(c))
+    converted = lambda c: F.when(F.col("converter"), F.col(c))
+    one = fan_in(
+        rows, "uid", modes={f"top_{c[2:]}": period(c) for c in ("o_orderpriority", "c_mktsegment", "o_orderstatus")},
+        firsts={"first_status": period("o_orderstatus"), "is_cah": period("is_cah"), "converter": period("converter"),
+                "event_date": converted("event"), "pre_raw": converted("pre")},
+        lasts={"distance": period("distance")}, first_order=F.struct("b", "o_orderkey"),
+        last_order=F.struct(F.col("e").isNull(), "e", "o_orderkey"))
+    out = M.backfill_left(means.dropna(subset=["uid", "state"]), one, "uid")
     share = F.col("share")
     return out.withColumns(
         FN.solvency({"Days_Cash_on_Hand": F.col("dcoh"), "Current_Ratio": share * 10, "Debt_Ratio": 1 - share, "Operating_Margin_Pct": (F.col("price") - 150000) / 1e6})
@@ -76,7 +86,7 @@ def average_baseline(rows: DataFrame) -> DataFrame:
 
 
 def q_recipe_baseline_full(spark, sf_dir):
-    out = average_baseline(baseline_rows(Tables(spark, sf_dir)))
+    out = average_baseline(cut_lineage(baseline_rows(Tables(spark, sf_dir))))
     return out.select(
         "uid", "state", *[r4(m).alias(f"mean_{m}") for m in MEANS], "first_status", "is_cah", "converter", "distance", "year_count", "year_min", "year_max",
         "any_urgent", "top_orderpriority", "top_mktsegment", "top_orderstatus", "event_date", "pre_raw",

@@ -25,6 +25,7 @@ from quarry.operators import quality as Q
 from quarry.operators import quantiles as QT
 from quarry.operators import rank as R
 from quarry.operators import similarity as S
+from quarry.operators.fanin import fan_in
 from quarry.operators.ordering import global_row_number
 from quarry.session import TABLES, Tables
 
@@ -415,15 +416,11 @@ def q_name_fill_join(spark, sf_dir):
 
 def q_attr_fan_in(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
-    order = F.struct(F.col("o_orderdate"), F.col("o_orderkey"))
-    attrs = o.groupBy("o_custkey").agg(
-        A.first_non_null("o_orderstatus", order).alias("first_status"),
-        A.last_non_null("o_totalprice", "o_orderdate", "o_orderkey").alias("last_price"),
-        F.count(F.lit(1)).alias("n_orders"))
-    mode = A.group_mode(o, "o_custkey", "o_orderpriority", "top_priority")
+    attrs = fan_in(o, "o_custkey", {"top_priority": "o_orderpriority"}, {"first_status": "o_orderstatus"}, {"last_price": "o_totalprice"},
+                   F.struct("o_orderdate", "o_orderkey"), F.struct(F.col("o_orderdate").isNull(), "o_orderdate", "o_orderkey"), "n_orders")
     latest = D.latest_per_key(o, "o_custkey", "o_orderdate", [F.desc("o_orderkey")]).select(
         "o_custkey", F.col("o_orderkey").alias("latest_orderkey"))
-    j = latest.join(attrs, "o_custkey", "left").join(mode, "o_custkey", "left")
+    j = latest.join(attrs, "o_custkey", "left")
     return j.select("o_custkey", "latest_orderkey", "top_priority", "first_status",
                     r4("last_price").alias("last_price"), "n_orders")
 

@@ -51,21 +51,21 @@ def _sim_text(expr: str) -> str:
             ", '\\b(hospital|center|medical|health|system|regional|community)\\b', '', 'g'))")
 
 
-def _tfidf(left_src: str, right_src: str) -> str:
-    """CTEs L(lk, t, mult), R(rk, t, mult) must be defined by the caller as
-    left_src/right_src; produces CTE 'pairs'(lt, rt, score) over all text pairs."""
+def _tfidf(left_src: str, right_src: str, tag: str = "") -> str:
+    """CTEs with text column t, left_src and right_src, must be defined by the caller; produces CTE
+    'pairs'(lt, rt, score) over all text pairs. All names made here end in ``tag``."""
     return f"""
-  docs AS (SELECT 'L' AS side, t, count(*) AS mult FROM {left_src} GROUP BY t
+  docs{tag} AS (SELECT 'L' AS side, t, count(*) AS mult FROM {left_src} GROUP BY t
            UNION ALL SELECT 'R', t, count(*) FROM {right_src} GROUP BY t),
-  ndocs AS (SELECT sum(mult) AS n FROM docs),
-  dg AS ({_grams("docs", "side, t, mult")}),
-  tf AS (SELECT side, t, gram, count(*) AS tf, any_value(mult) AS mult FROM dg GROUP BY side, t, gram),
-  dfreq AS (SELECT gram, sum(mult) AS df FROM tf GROUP BY gram),
-  w AS (SELECT side, t, gram, tf * (ln((1 + n) / (1 + df)) + 1) AS w
-        FROM tf JOIN dfreq USING (gram), ndocs),
-  nw AS (SELECT side, t, gram, w / sqrt(sum(w * w) OVER (PARTITION BY side, t)) AS w FROM w),
-  pairs AS (SELECT l.t AS lt, r.t AS rt, sum(l.w * r.w) AS score
-            FROM nw l JOIN nw r ON l.gram = r.gram AND l.side = 'L' AND r.side = 'R'
+  ndocs{tag} AS (SELECT sum(mult) AS n FROM docs{tag}),
+  dg{tag} AS ({_grams(f"docs{tag}", "side, t, mult")}),
+  tf{tag} AS (SELECT side, t, gram, count(*) AS tf, any_value(mult) AS mult FROM dg{tag} GROUP BY side, t, gram),
+  dfreq{tag} AS (SELECT gram, sum(mult) AS df FROM tf{tag} GROUP BY gram),
+  w{tag} AS (SELECT side, t, gram, tf * (ln((1 + n) / (1 + df)) + 1) AS w
+        FROM tf{tag} JOIN dfreq{tag} USING (gram), ndocs{tag}),
+  nw{tag} AS (SELECT side, t, gram, w / sqrt(sum(w * w) OVER (PARTITION BY side, t)) AS w FROM w{tag}),
+  pairs{tag} AS (SELECT l.t AS lt, r.t AS rt, sum(l.w * r.w) AS score
+            FROM nw{tag} l JOIN nw{tag} r ON l.gram = r.gram AND l.side = 'L' AND r.side = 'R'
             GROUP BY l.t, r.t)
 """
 

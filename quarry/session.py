@@ -35,20 +35,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the platform sets it to shared storage and we only read it; unset, it is an
-    error there. Only local sessions (tests, bench) get a scratch folder of their own."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current and not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    """Return the shared checkpoint folder, and have the context use it.
+
+    It is the one named by ``spark.checkpoint.dir``, which is only read here; else the one given to
+    ``setCheckpointDir``, whose sub-folder the context reports. With neither, only local sessions
+    (tests, bench) get a scratch folder of their own; on a cluster that is an error."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    current = context.getCheckpointDir()
     if not current:
-        current = tempfile.mkdtemp(prefix="quarry-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+        if not named:
+            if context.master != "local" and not context.master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            named = tempfile.mkdtemp(prefix="quarry-ckpt-")
+        context.setCheckpointDir(named)
+        current = context.getCheckpointDir()
+    return named or current.rstrip("/").rsplit("/", 1)[0]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -44,11 +44,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
     if not current:
-        if not named:
+        folder = named
+        if not folder:
             if context.master != "local" and not context.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-            named = tempfile.mkdtemp(prefix="quarry-ckpt-")
-        context.setCheckpointDir(named)
+            folder = tempfile.mkdtemp(prefix="quarry-ckpt-")
+        context.setCheckpointDir(folder)
         current = context.getCheckpointDir()
     return named or current.rstrip("/").rsplit("/", 1)[0]
 

@@ -43,6 +43,9 @@ BRANCH = 5
 DEEP_BRANCH = 3
 LEVELS = 3
 NODE = 3000
+#: Hashes of sets that one side of a block may hold (unless a single set has more): comparing takes
+#: about ten times their bytes.
+PART_TOKENS = 1 << 20
 TARGET_RECALL = 0.999999
 #: Ids, of a few bytes each, up to which they are broadcast.
 BROADCAST_IDS = 500_000
@@ -218,16 +221,22 @@ def _block_stars(kind: str, joined):
     return run
 
 
-def _compare(rows: DataFrame, kind: str, joined, limit: int) -> DataFrame:
-    """rows (key, size of the key, sig, n, tokens) -> stars (a, b) of each key's classes.
+def _deal(rows: DataFrame, limit: int) -> DataFrame:
+    """rows (key, size and weight of the key, sig, n, tokens) -> (block, sig, n, tokens).
 
-    A key of more than ``limit`` classes is dealt into parts; every pair of parts is a block."""
-    parts = F.ceil(F.col("size") / F.lit(limit)).cast("int")
+    A key of more than ``limit`` classes, or whose tokens, the weight, are more than
+    ``PART_TOKENS``, is dealt into parts; every pair of parts is a block."""
+    parts = F.ceil(F.greatest(F.col("size") / F.lit(limit), F.col("weight") / F.lit(PART_TOKENS), F.lit(1.0))).cast("int")
     part = F.pmod(F.xxhash64("sig", F.lit(7)), parts).cast("int")
     other = F.when(parts > 1, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0)))
     rows = rows.withColumn("__part", part).withColumn("__other", F.explode(other))
     block = F.xxhash64("key", F.least("__part", "__other"), F.greatest("__part", "__other"))
-    rows = rows.select(block.alias("block"), "sig", "n", "tokens").repartition("block").sortWithinPartitions("block")
+    return rows.select(block.alias("block"), "sig", "n", "tokens")
+
+
+def _compare(rows: DataFrame, kind: str, joined, limit: int) -> DataFrame:
+    """Rows as for ``_deal`` -> stars (a, b) of each key's classes."""
+    rows = _deal(rows, limit).repartition("block").sortWithinPartitions("block")
     return rows.mapInArrow(_block_stars(kind, joined), "a binary, b binary").distinct()
 
 
@@ -263,9 +272,11 @@ def classify(docs: DataFrame, size: int = WORDS) -> DataFrame:
     classes = rows.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     classes = cut_lineage(classes)
     nodes = _nodes(classes).join(classes.select("sig", "n", F.col("sketch").alias("tokens")), "sig")
+    nodes = nodes.withColumn("weight", F.col("size") * F.lit(SKETCH))
     loose = components(_compare(nodes, "<u4", sketches_close, NODE))
-    sized = loose.join(loose.groupBy("label").agg(F.count("*").alias("size")), "label")
-    members = cut_lineage(sized.select(F.col("node").alias("sig"), F.col("label").alias("key"), "size").join(classes.select("sig", "rep", "n"), "sig"))
+    members = cut_lineage(loose.select(F.col("node").alias("sig"), F.col("label").alias("key")).join(classes.select("sig", "rep", "n"), "sig"))
+    groups = members.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("weight"))
+    members = members.join(groups, "key")
     text = docs.select("doc_id", "text").join(members.select(F.col("rep").alias("__rep")).distinct(), F.col("doc_id").eqNullSafe(F.col("__rep")))
     sets = text.select(_full_sets(size)(F.col("text")).alias("s")).select("s.*").dropDuplicates(["sig"])
     links = _compare(members.join(sets, "sig"), "<u8", sets_close, NODE)

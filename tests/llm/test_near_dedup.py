@@ -96,3 +96,15 @@ def test_long_chains_and_hubs(spark):
     assert len({got[name[i]] for i in range(200, 400)}) == 1
     assert got[name[0]] != got[name[200]]
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def test_blocks_are_bounded_by_tokens(spark, monkeypatch):
+    monkeypatch.setattr(N, "PART_TOKENS", 50)
+    rows = corpus(4)
+    got = N.classify(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted([(r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id) for r in got], key=str) == brute(rows)
+    # 40 sets of 30 tokens: 1,200 in 24 parts, so no pair of parts holds all
+    sets = [(bytes([k]), 30, bytes(240)) for k in range(40)]
+    df = spark.createDataFrame([(1, 40, 1200, *x) for x in sets], "key long, size long, weight long, sig binary, n long, tokens binary")
+    blocks = N._deal(df, 3000).groupBy("block").sum("n").collect()
+    assert len(blocks) > 24 and max(r[1] for r in blocks) < 600

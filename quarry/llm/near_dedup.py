@@ -45,7 +45,7 @@ LEVELS = 3
 NODE = 3000
 #: Hashes of sets that one side of a block may hold (unless a single set has more): comparing takes
 #: about ten times their bytes.
-PART_TOKENS = 1 << 20
+PART_TOKENS = 1 << 19
 TARGET_RECALL = 0.999999
 #: Ids, of a few bytes each, up to which they are broadcast.
 BROADCAST_IDS = 500_000
@@ -117,9 +117,13 @@ def _full_sets(size: int):
     @F.arrow_udf("struct<sig: binary, tokens: binary>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            sets = [shingles(t, size) for t in batch.to_pylist()]
-            yield pa.StructArray.from_arrays([pa.array([_digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["sig", "tokens"])
+            parts = [pa.array([], kind)]
+            for at in range(0, len(batch), 256):
+                sets = [shingles(t, size) for t in batch.slice(at, 256).to_pylist()]
+                parts.append(pa.StructArray.from_arrays([pa.array([_digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["sig", "tokens"]))
+            yield pa.concat_arrays(parts)
 
+    kind = pa.struct([("sig", pa.binary()), ("tokens", pa.binary())])
     return run
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.session import cut_lineage, table
 
-__all__ = ["WORD", "GAP", "BLANK", "cut_lineage", "let", "read", "size_of_groups", "use_package", "words"]
+__all__ = ["WORD", "GAP", "BLANK", "cut_lineage", "let", "read", "sampled", "size_of_groups", "use_package", "words"]
 
 #: A word, a gap between words, and the characters of a gap.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -50,3 +50,11 @@ def words(text: Column) -> Column:
 def size_of_groups(rows: int, per_group: int) -> int:
     """How many groups hold about ``per_group`` rows each."""
     return max(1, -(-rows // per_group))
+
+
+def sampled(share: Column | float, *columns: str) -> Column:
+    """True for about ``share`` of all distinct values of the columns, the same ones every time:
+    62 bits of their hash are compared with the share, so that no share is too small to be one."""
+    bits = F.shiftrightunsigned(F.xxhash64(*columns), 2)
+    share = F.lit(float(share)) if isinstance(share, (int, float)) else share
+    return bits < F.greatest(F.least(share, F.lit(1.0)) * F.lit(float(1 << 62)), F.lit(1.0)).cast("long")

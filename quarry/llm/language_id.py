@@ -4,8 +4,8 @@ Training counts hashed 1- to 3-grams of letters per language in the executors an
 in Spark; the matrix of log-probabilities (2**bits rows, one column per language) is
 broadcast, and every text is scored whole, in batches, by sparse sums in numpy.
 
-Parameters that bound the fit: at most about ``max_rows`` labelled rows, chosen by a hash of
-the id, and at most ``MAX_LANGUAGES`` languages (an error beyond that). So the broadcast is
+Parameters that bound the fit: at most about ``max_rows`` labelled rows, shared among the languages
+and chosen by a hash of id and text, and at most ``MAX_LANGUAGES`` languages (an error beyond that). So the broadcast is
 at most 2**bits * MAX_LANGUAGES numbers.
 
 Defined cases: a text that is NULL or has no letters gives ``und`` with score 0; rows without
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import cut_lineage, read, use_package
+from quarry.llm.common import cut_lineage, read, sampled, use_package
 
 BITS = 15
 MAX_ROWS = 50_000
@@ -101,21 +101,25 @@ def fit(labelled: DataFrame, bits: int = BITS, max_rows: int = MAX_ROWS, alpha:
     """Train on the rows (doc_id, text, lang) whose three columns are all set."""
     use_package(labelled.sparkSession)
     rows = labelled.select("doc_id", "text", "lang").dropna()
-    n = rows.count()
+    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    names, n = sorted(sizes), sum(sizes.values())
     if n > max_rows:
-        rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * max_rows / n))
+        # languages share the bound, so that a rare one is learned too; what one leaves over, others take
+        quota, rest = {}, max_rows
+        for k, name in enumerate(sorted(names, key=sizes.get)):
+            quota[name] = min(sizes[name], rest / (len(names) - k))
+            rest -= quota[name]
+        share = F.create_map(*[F.lit(x) for name in names for x in (name, quota[name] / sizes[name])])
+        rows = rows.filter(sampled(F.element_at(share, F.col("lang")), "doc_id", "text"))
     counts = rows.select("text", "lang").mapInArrow(lambda b: _count(b, bits), "lang string, feature int, n long")
     counts = cut_lineage(counts.groupBy("lang", "feature").agg(F.sum("n").alias("n")))
-    names = sorted(r[0] for r in counts.filter("feature = -1").select("lang").limit(MAX_LANGUAGES + 1).collect())
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     matrix, prior = np.zeros((len(names), 1 << bits)), np.zeros(len(names))
     # at most languages * (2**bits + 1) rows
-    for lang, feature, k in counts.select("lang", "feature", "n").toPandas().itertuples(index=False):
-        if feature < 0:
-            prior[names.index(lang)] = k
-        else:
-            matrix[names.index(lang), feature] = k
+    for lang, feature, k in counts.filter("feature >= 0").select("lang", "feature", "n").toPandas().itertuples(index=False):
+        matrix[names.index(lang), feature] = k
+    prior[:] = [sizes[name] for name in names]
     matrix += alpha
     return Model(names, np.log(np.maximum(prior, 1) / max(prior.sum(), 1)), np.log(matrix / matrix.sum(axis=1, keepdims=True)), bits)
 

@@ -31,7 +31,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import BLANK, cut_lineage, let, read
+from quarry.llm.common import BLANK, cut_lineage, let, read, sampled
 
 MAX_NEGATIVES = 2000
 PRECISION = 0.99
@@ -247,9 +247,9 @@ def fit(docs: DataFrame, max_negatives: int = MAX_NEGATIVES) -> Model:
     vocabulary = fixed.filter(F.col("family") != UNKNOWN).select(F.explode(grams(F.col("text"))).alias("g")).distinct().orderBy("g")
     names = [r.g for r in vocabulary.collect()]  # bounded by the templates
     n = docs.count()
-    # about max_negatives documents by a hash of the id, one paragraph of each by a hash of its text
-    some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, max_negatives / max(n, 1))))
-    lines = some.select(F.array_min(F.transform(paragraphs(F.col("text")), lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("text"))))["text"].alias("text")).dropna()
+    # about max_negatives documents by a hash of id and text, one paragraph of each by a hash of its text
+    some = docs.filter(sampled(max_negatives / max(n, 1), "doc_id", "text"))
+    lines = some.select(F.array_min(F.transform(paragraphs(F.col("text")), lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("text"))))["text"].alias("text")).dropna().distinct()
     templates = F.array(*[grams(F.lit(t)) for ts in TEMPLATES.values() for t in ts])
     negative = lines.withColumn("g", grams(F.col("text"))).filter(~F.exists(templates, lambda t: _share(t, F.col("g")) > 1 / 3))
     rows = _runs(fixed).unionByName(negative.select(F.lit(UNKNOWN).alias("family"), "text"))

@@ -15,13 +15,15 @@ list of k neighbours can use. A node or a set of queries of more than ``PART`` e
 split into parts that meet pair by pair, so no task holds a whole hot node.
 
 Defined cases: vectors that are NULL, empty, all zero, or hold NULL or non-finite components
-take no part, nor do rows with a NULL id or of another dimension than most; repeated rows
-count once; with fewer candidates than k all are returned; ties go to the smaller id; an
+take no part, nor do rows with a NULL id; vectors of each dimension are searched among
+themselves; repeated rows count once; with fewer candidates than k all are returned; ties go to the smaller id; an
 empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,12 +72,11 @@ def _codes(largest: float, seed: int, of_queries: bool):
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, v) of the vectors that take part."""
+    """(vec_id, v) of the vectors that take part, of any dimension."""
     v = F.col("embedding").cast("array<double>")
     fine = F.col("vec_id").isNotNull() & (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).filter(F.coalesce(fine, F.lit(False)))
-    most = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).select("d")
-    return rows.join(F.broadcast(most), F.size("v") == F.col("d")).drop("d").distinct()
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
+    return rows.filter(F.coalesce(fine, F.lit(False))).distinct()
 
 
 def _best(scores: np.ndarray, low_ids: np.ndarray, k: int) -> np.ndarray:
@@ -188,9 +189,18 @@ def _fit_m(entries: DataFrame, asked: DataFrame, sums: DataFrame, k: int) -> int
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = K, seed: int = 1) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: the k nearest found for the rows of ``is_query``."""
+    """query_id, rank (from 1), vec_id, score: the k nearest found for the rows of ``is_query``.
+
+    Vectors of each dimension are a space of their own, searched one after the other."""
     use_package(vectors.sparkSession)
     rows = cut_lineage(_usable(vectors))
+    sizes = [r[0] for r in rows.select(F.size("v")).distinct().collect()]  # the dimensions there are
+    found = [_search(rows.filter(F.size("v") == d), is_query, k, seed) for d in sorted(sizes)] or [_search(rows, is_query, k, seed)]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _search(rows: DataFrame, is_query: Column, k: int, seed: int) -> DataFrame:
+    """``search`` among vectors of one dimension."""
     ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).filter(F.col("r") <= k + 1)
     entries = ranked.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).withColumn("key", F.col("ids")[0])
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)

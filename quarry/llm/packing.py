@@ -6,8 +6,8 @@ a few packings. An epoch breeds children on every island in parallel: a child ta
 well-filled bins of one parent, loses the other parent's bins that hold the same pieces, and
 best-fits the displaced pieces. Between epochs each island gets its neighbour's elite. A
 shard whose elite reaches the bound ceil(tokens / length) is done. The badly filled bins of
-all shards are dissolved and packed again in a next, much smaller level, until one shard is
-left, so that dealing to shards costs no sequences.
+all shards are dissolved, dealt anew and packed again in a next level, until one shard is left or a
+level saves no bin.
 
 Defined cases: NULL text is empty (one piece: the end token alone); NULL and repeated ids are
 packed row by row; an empty table gives an empty result; other columns are ignored.
@@ -264,22 +264,20 @@ def pack(found: DataFrame, length: int = LENGTH, seed: int = 1) -> DataFrame:
     found = cut_lineage(found.withColumn("uid", F.monotonically_increasing_id()))
     whole = found.filter(F.col("length") == length).select("uid", "length", (-F.col("uid") - 1).alias("sequence_id"))
     rest, placed, level = found.filter(F.col("length") < length).select("uid", "length"), [whole], 0
+    before = None  # bins that the pieces to be packed took in the last level
     while True:
         shards = size_of_groups(rest.count(), SHARD)
         packed = _pack_level(rest, shards, length, seed + level)
         number = F.lit(level * 2**56) + F.col("shard") * 2**13 + F.col("bin")
         packed = cut_lineage(packed.withColumn("sequence_id", number.cast("long")))
-        if shards == 1:
-            placed.append(packed.select("uid", "length", "sequence_id"))
-            break
         full = F.col("fill") >= WELL_FILLED * length
-        placed.append(packed.filter(full).select("uid", "length", "sequence_id"))
-        left = packed.filter(~full).select("uid", "length")
+        bins = packed.groupBy("sequence_id").agg(F.max("fill").alias("fill")).agg(F.count("*").alias("n"), F.count_if(~full).alias("open")).first()
         level += 1
-        if level > 40 or left.count() > 0.9 * rest.count():  # nothing to gain from packing them again
-            placed.append(packed.filter(~full).select("uid", "length", "sequence_id"))
+        if shards == 1 or level > 40 or (before is not None and bins.n >= before):
+            placed.append(packed.select("uid", "length", "sequence_id"))
             break
-        rest = left
+        placed.append(packed.filter(full).select("uid", "length", "sequence_id"))
+        rest, before = packed.filter(~full).select("uid", "length"), bins.open
     every = functools.reduce(DataFrame.unionByName, placed)
     before = Window.partitionBy("sequence_id").orderBy("uid").rowsBetween(Window.unboundedPreceding, -1)
     every = every.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")).drop("length")

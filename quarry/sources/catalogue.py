@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import csv
 import io
-from collections.abc import Iterator, Sequence
-from typing import NamedTuple
+import re
+from collections.abc import Iterator, Mapping, Sequence
+from typing import Any, NamedTuple
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -83,8 +85,14 @@ def _heads(skip: int, one_file_a_task: bool):
     return run
 
 
-def layouts(spark: SparkSession, path: str | Sequence[str], skip: int = 0) -> list[Layout]:
-    """The groups of files with equal headers among ``path`` (a file, folder, glob or list of these).
+def _plain(uri: str) -> str:
+    """Spark writes one file's URI in several ways: escaped or not, with one or three slashes."""
+    return re.sub(r"^(\w+:)/+", r"\1/", unquote(uri))
+
+
+def layouts_by(spark: SparkSession, paths: Mapping[Any, str | Sequence[str]], skip: int = 0) -> dict[Any, list[Layout]]:
+    """For each name in ``paths`` the groups of files with equal headers among its path (a file,
+    folder, glob or list of these), all found by one job.
 
     ``skip`` records, blank lines included, come before each header. Empty files are in no group."""
     # a session of its own, whose scans give every file a task, leaves the caller's settings alone
@@ -92,14 +100,27 @@ def layouts(spark: SparkSession, path: str | Sequence[str], skip: int = 0) -> li
     side.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
     side.conf.set("spark.sql.files.openCostInBytes", str(1 << 50))
     side.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(skip + HEADER_LINES))
-    paths = [path] if isinstance(path, str) else list(path)
-    lines = side.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
-    alone = lines.rdd.getNumPartitions() >= len(lines.inputFiles())
+    files = {name: side.read.text([path] if isinstance(path, str) else list(path)).inputFiles() for name, path in paths.items()}
+    every = sorted({f for found in files.values() for f in found})
+    if not every:
+        return {name: [] for name in paths}
+    lines = side.read.text(every).select(F.col("_metadata.file_path").alias("file"), "value")
+    alone = lines.rdd.getNumPartitions() >= len(every)
     rows = lines.mapInArrow(_heads(skip, alone), "file string, cells array<string>, drop int, broken boolean").collect()
-    groups: dict[tuple, list[str]] = {}
-    for r in sorted(rows, key=lambda r: r.file):
-        groups.setdefault((header_names(r["cells"]), r["drop"], r["broken"]), []).append(r["file"])
-    return [Layout(*key, files) for key, files in groups.items()]
+    head = {_plain(r["file"]): (header_names(r["cells"]), r["drop"], r["broken"]) for r in rows}
+    out: dict[Any, list[Layout]] = {}
+    for name, found in files.items():
+        groups: dict[tuple, list[str]] = {}
+        for f in sorted(found):
+            if _plain(f) in head:
+                groups.setdefault(head[_plain(f)], []).append(f)
+        out[name] = [Layout(*key, own) for key, own in groups.items()]
+    return out
+
+
+def layouts(spark: SparkSession, path: str | Sequence[str], skip: int = 0) -> list[Layout]:
+    """The groups of files with equal headers among ``path``."""
+    return layouts_by(spark, {"": path}, skip)[""]
 
 
 def scan(spark: SparkSession, layout: Layout, multi_line: bool = False) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from quarry.functions.coerce import na_to_null, to_date_lenient, to_long_id, to_number
 from quarry.operators.columns import rename
 from quarry.operators.merge import union_by_name
-from quarry.sources.catalogue import header_names, layouts, scan
+from quarry.sources.catalogue import header_names, layouts, layouts_by, scan
 
 
 def _coerce(col: str, kind: str):
@@ -38,6 +38,9 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+_YEAR = "__year"  # until the declared columns, which may have a Year of their own, are there
+
+
 def _typed(raw: DataFrame, schema: Mapping[str, str], keep_extra: bool = False) -> DataFrame:
     """``raw`` by name: the declared columns coerced, absent ones as NULL of their kind."""
     have = set(raw.columns)
@@ -58,8 +61,9 @@ def read_csv_by_name(spark: SparkSession, path: str | Sequence[str], schema: Map
     file (``catalogue.layouts``: one scan per distinct header, united by name). Declared columns
     that a file lacks become typed NULLs. ``skip`` records before each header are left out;
     ``multi_line`` says that quoted fields may hold line breaks. Without any header: no rows."""
-    found = [_typed(scan(spark, x, multi_line), schema, keep_extra) for x in layouts(spark, path, skip)]
-    return union_by_name(found) if found else _empty(spark, schema)
+    # text columns are united first, so each column is coerced by one expression
+    found = [scan(spark, x, multi_line) for x in layouts(spark, path, skip)]
+    return _typed(union_by_name(found), schema, keep_extra) if found else _empty(spark, schema)
 
 
 def stack_yearly(spark: SparkSession, files: Mapping[int, str | Sequence[str]], schema: Mapping[str, str],
@@ -68,15 +72,18 @@ def stack_yearly(spark: SparkSession, files: Mapping[int, str | Sequence[str]],
     years), renamed by dictionary, coerced by name, tagged with a literal Year (and a 0/1 source
     flag), united by name."""
     frames = []
-    for year, path in sorted(files.items()):
-        for layout in layouts(spark, path):
+    for year, found in sorted(layouts_by(spark, files).items()):
+        for layout in found:
             raw = scan(spark, layout)
-            df = _typed(rename(raw, renames) if renames else raw, schema).withColumn("Year", F.lit(int(year)))
-            frames.append(df.withColumn(source_flag, F.lit(1)) if source_flag else df)
-    if not frames:
-        extra = {"Year": F.lit(None).cast("int")} | ({source_flag: F.lit(1)} if source_flag else {})
-        return _empty(spark, schema).withColumns(extra)
-    return union_by_name(frames)
+            raw = rename(raw, renames) if renames else raw
+            frames.append(raw.select(*[F.col(_quoted(c)) for c in raw.columns if c in schema], F.lit(int(year)).alias(_YEAR)))
+    if frames:
+        every = union_by_name(frames)
+        out = _typed(every, schema, keep_extra=True)
+    else:
+        out = _empty(spark, schema).withColumn(_YEAR, F.lit(None).cast("int"))
+    out = out.drop(*[c for c in schema if c == "Year"]).withColumnRenamed(_YEAR, "Year")
+    return out.withColumn(source_flag, F.lit(1)) if source_flag else out
 
 
 def with_year_from_path(df: DataFrame, out: str = "file_year", pattern: str = r"_(\d{4})[^/]*$") -> DataFrame:

@@ -18,17 +18,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_stage(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Parquet stage between recipes (typed, columnar, prunable)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-
-
 def write_json_rows(df: DataFrame, path: str) -> None:
-    """K2: JSON lines where NULL fields are written as ``null`` (keys kept);
-    no rounding is applied (T30)."""
+    """JSON lines where NULL fields are written as ``null`` (keys kept), and so are the numbers
+    that JSON has no word for (NaN, infinities); no rounding is applied (T30)."""
+    numbers = {c: F.when(~F.isnan(c) & (F.abs(c) < float("inf")), F.col(c)) for c, kind in df.dtypes if kind in ("double", "float")}
+    df = df.withColumns(numbers) if numbers else df
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
@@ -59,11 +53,3 @@ def write_reports(reports: Mapping[str, DataFrame], root: str) -> None:
     for name, df in reports.items():
         df.write.mode("overwrite").parquet(os.path.join(root, name))
         write_csv(df, os.path.join(root, f"{name}_csv"))
-
-
-def read_stage(spark, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
-__all__ = ["write_csv", "write_stage", "write_json_rows", "write_baselines", "write_snapshot",
-           "write_reports", "read_stage", "F"]

@@ -109,3 +109,24 @@ def test_incremental_landing(spark, tmpdir_path):
     ingest_new_files(spark, land, stage, **args)
     got = sorted((r.CCN, r.Beds, r.Year) for r in spark.read.parquet(stage).collect())
     assert got == [(1, 10.0, 2020), (2, None, 2020), (3, 7.0, 2021)]
+
+
+def test_baseline_document_keeps_nulls_and_has_no_nan(spark, tmpdir_path):
+    average = spark.createDataFrame([("A", 1.25, None), ("B", float("nan"), "x")], "uid string, mean double, top string")
+    recent = spark.createDataFrame([("A", 0.1 + 0.2)], "uid string, v double")
+    K.write_baselines(average, recent, {"generated": "2026-01-01", "hospitals": 2}, tmpdir_path)
+
+    def read(name):
+        return sorted((json.loads(r.value) for r in spark.read.text(os.path.join(tmpdir_path, name)).collect()), key=str)
+
+    assert read("metadata") == [{"generated": "2026-01-01", "hospitals": 2}]
+    assert read("baseline_average") == [{"uid": "A", "mean": 1.25, "top": None}, {"uid": "B", "mean": None, "top": "x"}]
+    assert read("baseline_most_recent") == [{"uid": "A", "v": 0.30000000000000004}]
+
+
+def test_report_tables(spark, tmpdir_path):
+    reports = {"q1": spark.createDataFrame([(1, "a,b")], "n int, t string"), "q2": spark.createDataFrame([], "n int")}
+    K.write_reports(reports, tmpdir_path)
+    assert spark.read.parquet(os.path.join(tmpdir_path, "q1")).collect() == [(1, "a,b")]
+    assert spark.read.option("header", True).csv(os.path.join(tmpdir_path, "q1_csv")).collect() == [("1", "a,b")]
+    assert spark.read.parquet(os.path.join(tmpdir_path, "q2")).count() == 0

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.plans import baseline, bindings, coverage, enrich, enrollment, landed, matching, oracle, recipes, recipes_sql, reports, reports_sql
+from quarry.plans import baseline, bindings, coverage, enrich, enrollment, landed, matching, oracle, recipes, recipes_sql, region, reports, reports_sql
 
-MODULES = (bindings, recipes, reports, baseline, coverage, enrich, enrollment, landed, matching)
+MODULES = (bindings, recipes, reports, baseline, coverage, enrich, enrollment, landed, matching, region)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,5 +17,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     known = queries()
-    sql = oracle.SQL | recipes_sql.SQL | reports_sql.SQL | baseline.SQL | coverage.SQL | enrich.SQL | enrollment.SQL | landed.SQL | matching.SQL
+    sql = oracle.SQL | recipes_sql.SQL | reports_sql.SQL | baseline.SQL | coverage.SQL | enrich.SQL | enrollment.SQL | landed.SQL | matching.SQL | region.SQL
     return {k: v for k, v in sql.items() if k in known}

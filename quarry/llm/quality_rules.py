@@ -134,16 +134,21 @@ def _sql_list(values) -> str:
     return ", ".join(f"'{v}'" for v in dict.fromkeys(values))
 
 
-#: For the given tables: their languages are all listed, and no text has 10,000,000 words.
+def _sql_rule(r: Rule) -> str:
+    share = r.count if r.per is None else f"{r.count} / greatest({r.per}, 1)"
+    fine = f"{share} >= {r.low}" + ("" if r.high == math.inf else f" AND {share} <= {r.high}")
+    return f"({fine})" if r.languages is None else f"(NOT coalesce(tag IN ({_sql_list(r.languages)}), false) OR ({fine}))"
+
+
 ORACLE_SQL = rf"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS rid FROM documents),
-w AS (SELECT rid, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, string_split_regex(lower(trim(lang)), '[-_]')[1] AS tag, row_number() OVER () AS rid FROM documents),
+w AS (SELECT rid, doc_id, text, tag, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
              list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ln FROM d),
 win AS (SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (
             SELECT rid, w, unnest(range(1, greatest(len(w) - 1, 1))) AS i FROM w)),
 rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM win) WHERE n > 1),
 cov AS (SELECT rid, count(DISTINCT i + k) AS n FROM rep, (VALUES (0), (1), (2)) o(k) GROUP BY rid),
-m AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+m AS (SELECT doc_id, tag, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
              len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(ln) AS n_lines,
              len(ln) - len(list_distinct(ln)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words,
              len(list_filter(w, lambda x: lower(x) IN ({_sql_list(STOP_WORDS)}))) AS n_stop_words
@@ -151,7 +156,6 @@ m AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_c
 b AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed FROM m)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-       NOT base_failed AND {" AND ".join(
-           f"{r.count}{'' if r.per is None else f' / greatest({r.per}, 1)'} BETWEEN {r.low} AND {10_000_000 if r.high == math.inf else r.high}" for r in RULES)} AS kept
+       NOT base_failed AND {" AND ".join(map(_sql_rule, RULES))} AS kept
 FROM b
 """

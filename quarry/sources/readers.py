@@ -121,7 +121,7 @@ ENTITY = T.StructType([
 
 def flatten_entities(spark: SparkSession, path: str) -> DataFrame:
     """Nested entity JSON -> one flat row per entity. The root may be an object
-    with ``coveredEntities`` or a bare array. Missing address parts become '';
+    with ``coveredEntities`` or a bare array. Absent text fields become '';
     the first medicaid number (or '') is kept. The schema is declared, not inferred, so
     empty arrays and absent fields have their types."""
     root = T.StructType([T.StructField("coveredEntities", T.ArrayType(ENTITY)), *ENTITY.fields])
@@ -134,10 +134,10 @@ def flatten_entities(spark: SparkSession, path: str) -> DataFrame:
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     number = F.coalesce(F.get(F.col("medicaidNumbers"), F.lit(0))["medicaidNumber"], F.lit(""))
     return rows.select(
-        F.col("name").alias("Entity Name"), F.col("entityType").alias("Entity Type"), F.col("id340B").alias("340B ID"),
+        text("name").alias("Entity Name"), text("entityType").alias("Entity Type"), text("id340B").alias("340B ID"),
         text("streetAddress.addressLine1").alias("Street Address 1"), text("streetAddress.city").alias("Street City"),
         text("streetAddress.state").alias("Street State"), text("streetAddress.zip").alias("Street Zip"),
-        F.col("participatingStartDate").alias("Start Date"), F.col("certifiedDecertifiedDate").alias("Termination Date"),
+        text("participatingStartDate").alias("Start Date"), text("certifiedDecertifiedDate").alias("Termination Date"),
         number.alias("Medicaid Billing Number"), F.col("participating").alias("Participating"))
 
 

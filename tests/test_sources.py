@@ -56,6 +56,10 @@ def test_flatten_entities(spark, tmpdir_path):
     assert r1["B"]["Street Address 1"] == "" and r1["B"]["Medicaid Billing Number"] == ""
     r2 = RD.flatten_entities(spark, p2).collect()
     assert r2[0]["Entity Name"] == "C" and r2[0]["Medicaid Billing Number"] == ""
+    assert (r2[0]["Start Date"], r2[0]["Termination Date"], r2[0]["Participating"]) == ("", "", None)
+    _write(p2, json.dumps([{"participating": True}]))
+    (r3,) = RD.flatten_entities(spark, p2).collect()
+    assert (r3["Entity Name"], r3["Entity Type"], r3["340B ID"], r3["Participating"]) == ("", "", "", True)
 
 
 def test_guards(spark):

@@ -175,7 +175,7 @@ def _search(chunk, docs: int, words: int, k: int, ids: pa.DataType):
                 for uid, item in items:
                     best, score = first(item, lists, len(sizes), k)
                     # ties with the k-th are many at most where many texts are equal
-                    order = sorted(((-s, (x := block["ids"][d]) is None, x or 0, d) for d, s in zip(best.tolist(), score.tolist())))[:k]
+                    order = sorted(((-s, (x := block["ids"][d]) is None, 0 if x is None else x, d) for d, s in zip(best.tolist(), score.tolist())))[:k]
                     out += [{"uid": uid, "at": d, "doc_id": block["ids"][d], "score": -s} for s, _, _, d in order]
                 yield pa.RecordBatch.from_pylist(out, schema)
 

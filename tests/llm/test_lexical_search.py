@@ -61,6 +61,8 @@ def test_search_against_brute_force(spark, monkeypatch, docs_limit, postings, qu
 def test_text_ids_and_other_k(spark):
     docs, items = tables()
     docs = [(None if i is None else f"d{i:05}", t) for i, t in docs if i != 3]
+    empty = S.search(spark.createDataFrame([("", "a"), ("b", "a"), (None, "a"), ("c", "x")], "doc_id string, text string"), spark.createDataFrame([(1, "a")], "item_id long, text string"))
+    assert [r.doc_id for r in empty.orderBy("rank").collect()] == ["", "b", None]
     got = S.search(spark.createDataFrame(docs, "doc_id string, text string"), spark.createDataFrame(items, "item_id long, text string"), k=3).collect()
     want = {}
     for item, rank, doc, score in brute([(i and int(i[1:]), t) for i, t in docs], items, 3):

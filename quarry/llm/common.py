@@ -13,13 +13,16 @@ from pyspark.sql import functions as F
 
 from quarry.session import cut_lineage, table
 
-__all__ = ["WORD", "GAP", "BLANK", "cut_lineage", "let", "read", "sampled", "size_of_groups", "use_package", "words"]
+__all__ = ["WORD", "GAP", "BLANK", "cut_lineage", "let", "read", "sampled", "size_of_groups", "small_batches", "use_package", "words"]
 
 #: A word, a gap between words, and the characters of a gap.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 BLANK = " \t\n\x0b\x0c\r"
 
+BATCH_BYTES = "8m"
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return table(spark, sf_dir, name)
@@ -36,6 +39,13 @@ def use_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python workers in batches of at most ``BATCH_BYTES``, unless the session says how
+    large they may be. A batch is held several times over: by Spark, by the worker, and as objects."""
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` applied to ``value``, which is computed once however often body uses it."""
     return F.transform(F.array(value), body)[0]

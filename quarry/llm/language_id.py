@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import cut_lineage, read, sampled, use_package
+from quarry.llm.common import cut_lineage, read, sampled, small_batches, use_package
 
 BITS = 15
 MAX_ROWS = 50_000
@@ -100,6 +100,7 @@ def _count(batches, bits: int):
 def fit(labelled: DataFrame, bits: int = BITS, max_rows: int = MAX_ROWS, alpha: float = 0.5) -> Model:
     """Train on the rows (doc_id, text, lang) whose three columns are all set."""
     use_package(labelled.sparkSession)
+    small_batches(labelled.sparkSession)
     rows = labelled.select("doc_id", "text", "lang").dropna()
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
     if len(sizes) > MAX_LANGUAGES:
@@ -160,6 +161,7 @@ def _score(model: Model, texts: list) -> tuple[list[str], list[float]]:
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs with ``lang_pred`` and ``score`` (the posterior probability of that language)."""
     use_package(docs.sparkSession)
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang: string, score: double>")

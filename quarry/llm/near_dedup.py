@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import BLANK, cut_lineage, read, use_package
+from quarry.llm.common import BLANK, cut_lineage, read, small_batches, use_package
 from quarry.llm.components import components
 
 WORDS = 2
@@ -271,6 +271,7 @@ def classify(docs: DataFrame, size: int = WORDS) -> DataFrame:
 
     ``sig`` identifies the set of shingles; NULL for an empty one."""
     use_package(docs.sparkSession)
+    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", _summaries(size)(F.col("text")).alias("s")).select("doc_id", "s.*")
     rows = cut_lineage(rows)
     classes = rows.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))

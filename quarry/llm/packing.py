@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.llm import bpe
-from quarry.llm.common import cut_lineage, read, size_of_groups, use_package
+from quarry.llm.common import cut_lineage, read, size_of_groups, small_batches, use_package
 
 LENGTH = 4096
 END = 1
@@ -130,6 +130,7 @@ def _pieces(path: str, length: int, end: int, with_ids: bool):
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids) of each piece of each document."""
     use_package(docs.sparkSession)
+    small_batches(docs.sparkSession)
     found = docs.select("doc_id", F.explode(_pieces(path, length, end, with_ids)(F.col("text"))).alias("p"))
     return found.select("doc_id", "p.*")
 

@@ -81,3 +81,24 @@ def test_repacking_goes_on_while_it_saves(spark, monkeypatch):
         bins[r.sequence_id] += r.length
     assert max(bins.values()) <= 64 and sum(bins.values()) == sum(lengths)
     assert len(bins) == 120
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    import pyarrow as pa
+
+    from quarry.llm.common import _BATCH_SETTING, small_batches
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    try:
+        spark.conf.unset(_BATCH_SETTING)
+        small_batches(spark)
+        df = spark.range(6000).repartition(2).select(F.repeat(F.lit("x"), 10_000).alias("t"))
+        assert 1 << 20 < df.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0] < 9 << 20
+        spark.conf.set(_BATCH_SETTING, "3m")  # what the session says stays
+        small_batches(spark)
+        assert spark.conf.get(_BATCH_SETTING) == "3m"
+    finally:
+        spark.conf.unset(_BATCH_SETTING)

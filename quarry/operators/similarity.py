@@ -6,29 +6,29 @@ Model (character n-gram TF-IDF as commonly configured for names): word-bounded
 union of both sides (every input row is a document, duplicates included), rows
 L2-normalised, score = dot product.
 
-Plan shape — no all-pairs product:
+Plan shape — no all-pairs product, and no pair is shuffled before its score is known:
   * work on distinct texts, carrying each text's row multiplicity for the idf;
-  * postings (text, gram, weight) are a long table; df is a hash aggregate. A posting also
-    carries ``ord``, its place in one order of all grams, rare ones first, and ``rest``, the
-    norm of what follows it in its vector;
-  * threshold joins use exact prefix filtering (Bayardo, Ma, Srikant 2007): two unit vectors
-    with cosine >= t share a gram that is in both prefixes, a prefix being the grams up to where
-    the rest has norm < t. The prefix join keeps its partial products: of a pair it has the
-    exact product up to the last gram met, and by Cauchy and Schwarz the rest adds at most the
-    product of both rests there. What cannot reach t (or, where only the best is asked for, the
-    best partial product of its left text) goes; the others get the products of the grams
-    behind, and nothing is multiplied twice;
-  * a gram of many texts is dealt to a grid of parts of both sides, so that no task joins a hot
-    gram alone;
-  * top-k (J8) has a threshold of each left text's own: the k-th score among a few right texts of
-    the greatest weights in its rarest grams. Nothing below that can be among the first k, so
-    one threshold join with it is complete.
+  * the dictionary of grams (df, idf, an id) is a hash aggregate, checkpointed; the postings (text,
+    gram, weight) are made from it whenever they are read. Texts are dealt by id before they are cut
+    into grams, so that counts and norms need no shuffle of postings where the dictionary is small;
+  * the texts of both sides, a row with its vector each, are dealt to a grid: a cell has at most some
+    ``LEFT_POSTINGS`` and ``RIGHT_POSTINGS`` and meets as one cogroup. What is shuffled are vectors,
+    each as often as there are parts of the other side;
+  * within a cell numpy adds up partial products along the postings of the right side, grams of few
+    texts first, until no text that was not met can reach what is asked for: what follows of the left
+    vector has at most its norm as a product (prefix filtering; Bayardo, Ma, Srikant 2007). By Cauchy
+    and Schwarz the same bounds what a met text can still gain; the texts that it leaves get their
+    exact product;
+  * where only the first k are asked for (J7: 1), the exact products of the best partial ones give a
+    left text a threshold of its own, before the postings of common grams are read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -66,72 +66,172 @@ def tfidf_docs(left: DataFrame, right: DataFrame, left_text: str, right_text: st
     return cut_lineage(docs.withColumn("tid", F.monotonically_increasing_id()))
 
 
-def tfidf_postings(docs: DataFrame, n_min: int = 3, n_max: int = 4) -> tuple[DataFrame, DataFrame]:
-    """Normalised postings for both sides: (text, gram, w, df, ord, rest) where ``text`` is the text
-    id from ``tfidf_docs``. The idf counts every input row of both sides, and the norm every gram of
-    a text; but only grams that both sides have are kept, and count for ``rest``: no other is ever
-    multiplied. Checkpointed, as every join below reads them several times."""
+#: Grams up to which the dictionary goes to every executor; a larger one is joined by a shuffle.
+SMALL_DICTIONARY = 100_000
+#: Characters of texts that one task cuts into grams.
+TASK_CHARS = 1_000_000
+
+
+def _text_parts(docs: DataFrame) -> int:
+    return max(8, math.ceil((docs.agg(F.sum(F.length("text"))).first()[0] or 0) / TASK_CHARS))
+
+
+def gram_dictionary(docs: DataFrame, n_min: int = 3, n_max: int = 4) -> DataFrame:
+    """gram, gid, df, idf, nl, nr: rows of both sides with the gram, and distinct texts of each side.
+    Checkpointed, so the ids are fixed."""
     n = docs.agg(F.sum("mult")).scalar()  # one value: a scalar subquery, not a join
-    grams = (docs.select("side", F.col("tid").alias("text"), "mult",
-                         F.explode(char_wb_ngrams(F.col("text"), n_min, n_max)).alias("gram"))
-             .groupBy("side", "text", "gram").agg(F.count(F.lit(1)).alias("tf"), F.first("mult").alias("mult")))
-    grams = cut_lineage(grams)
-    dfreq = grams.groupBy("gram").agg(F.sum("mult").alias("df"), (F.min("side") != F.max("side")).alias("shared"))
-    idf = dfreq.select("gram", "df", "shared", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
-    w = grams.join(idf, "gram").withColumn("w", F.col("tf") * F.col("idf"))
-    own = Window.partitionBy("side", "text")
-    later = own.orderBy(F.desc("df"), F.desc("gram")).rowsBetween(Window.unboundedPreceding, -1)
-    post = w.withColumn("_norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(own))).where("shared")
-    post = post.withColumn("w", F.col("w") / F.col("_norm")).withColumn("rest", F.sqrt(F.coalesce(F.sum(F.col("w") * F.col("w")).over(later), F.lit(0.0))))
-    post = cut_lineage(post.select("side", "text", "gram", "w", "df", F.struct("df", "gram").alias("ord"), "rest"))
-    return (post.where(F.col("side") == "L").drop("side"),
-            post.where(F.col("side") == "R").drop("side"))
-
-
-#: Texts of a gram above which its join is dealt to a grid of parts.
-HOT_GRAM = 4096
-
-
-def _gram_join(l: DataFrame, r: DataFrame) -> DataFrame:
-    """Postings of both sides that share a gram: ltext, rtext, ord, wl, wr, restl, restr and what else
-    either side has. A gram of df texts is dealt to ceil(df / HOT_GRAM) parts a side; each part of
-    one meets each of the other."""
-    parts = F.ceil(F.col("df") / F.lit(HOT_GRAM)).cast("int")
-    own, other = F.pmod(F.xxhash64("text"), parts).cast("int"), F.explode(F.sequence(F.lit(0), parts - 1))
-
-    def side(post, text, w, rest, mine, theirs, *more):
-        post = post.withColumn(mine, own).withColumn(theirs, other)
-        return post.select("gram", mine, theirs, F.col("text").alias(text), F.col("w").alias(w), F.col("rest").alias(rest), *more)
-
-    return side(l, "ltext", "wl", "restl", "_a", "_b", "ord", *[c for c in l.columns if c == "least"]) \
-        .join(side(r, "rtext", "wr", "restr", "_b", "_a"), ["gram", "_a", "_b"])
-
-
-def _with_tails(pairs: DataFrame, lpost: DataFrame, rpost: DataFrame) -> DataFrame:
-    """pairs (ltext, rtext, partial, last) with ``score``: the partial product and those of the grams
-    behind ``last``, the last gram that it has."""
-    lfull = lpost.select(F.col("text").alias("ltext"), "gram", "ord", F.col("w").alias("wl"))
-    rfull = rpost.select(F.col("text").alias("rtext"), "gram", F.col("w").alias("wr"))
-    tails = pairs.join(lfull, "ltext").where(F.col("ord") > F.col("last")).join(rfull, ["rtext", "gram"])
-    parts = pairs.select("ltext", "rtext", F.col("partial").alias("x")).unionByName(tails.select("ltext", "rtext", (F.col("wl") * F.col("wr")).alias("x")))
-    return parts.groupBy("ltext", "rtext").agg(F.sum("x").alias("score"))
-
-
-def threshold_pairs(lpost: DataFrame, rpost: DataFrame, t: float, tolerance: float = EPS, best_only: bool = False) -> DataFrame:
+    grams = docs.repartition(_text_parts(docs)).select("side", "mult", F.explode(F.array_distinct(char_wb_ngrams(F.col("text"), n_min, n_max))).alias("gram"))
+    dfreq = grams.groupBy("gram").agg(F.sum("mult").alias("df"), F.count_if(F.col("side") == "L").alias("nl"), F.count_if(F.col("side") == "R").alias("nr"))
+    return cut_lineage(dfreq.select("gram", F.monotonically_increasing_id().alias("gid"), "df", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"), "nl", "nr"))
+
+
+def posting_counts(dictionary: DataFrame) -> tuple[int, int]:
+    """Postings of either side, as ``tfidf_postings`` has them."""
+    row = dictionary.where("nl > 0 and nr > 0").agg(F.sum("nl"), F.sum("nr")).first()
+    return row[0] or 0, row[1] or 0
+
+
+def tfidf_postings(docs: DataFrame, n_min: int = 3, n_max: int = 4, dictionary: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Normalised postings for both sides: (text, gram, gid, w, df, ord, rest) where ``text`` is the text
+    id from ``tfidf_docs``, ``ord`` the gram's place in one order of all grams, rare ones first, and
+    ``rest`` the norm of what follows it in its vector. The idf counts every input row of both sides,
+    and the norm every gram of a text; but only grams that both sides have are kept, and count for
+    ``rest``: no other is ever multiplied. Lazy, as they are much larger than texts and dictionary."""
+    if dictionary is None:
+        dictionary = gram_dictionary(docs, n_min, n_max)
+    known = dictionary.select("gram", "gid", "df", "idf", ((F.col("nl") > 0) & (F.col("nr") > 0)).alias("shared"))
+    if dictionary.count() <= SMALL_DICTIONARY:
+        known = F.broadcast(known)
+    parts = _text_parts(docs)
+
+    def side(name):
+        texts = docs.where(F.col("side") == name).select(F.col("tid").alias("text"), F.col("text").alias("_t")).repartition(parts, "text")
+        grams = texts.select("text", F.explode(char_wb_ngrams(F.col("_t"), n_min, n_max)).alias("gram")).groupBy("text", "gram").agg(F.count(F.lit(1)).alias("tf"))
+        own = Window.partitionBy("text")
+        later = own.orderBy(F.desc("df"), F.desc("gram")).rowsBetween(Window.unboundedPreceding, -1)
+        post = grams.join(known, "gram").withColumn("w", F.col("tf") * F.col("idf"))
+        post = post.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(own))).where("shared")
+        post = post.withColumn("rest", F.sqrt(F.coalesce(F.sum(F.col("w") * F.col("w")).over(later), F.lit(0.0))))
+        return post.select("text", "gram", "gid", "w", "df", F.struct("df", "gram").alias("ord"), "rest")
+
+    return side("L"), side("R")
+
+
+#: Postings of either side that a cell of the grid has, on average.
+LEFT_POSTINGS, RIGHT_POSTINGS = 1_000_000, 2_000_000
+#: Right texts of a gram above which a left text finds its own threshold before it reads them, and
+#: texts with the best partial products, for each of the k, whose exact products give it.
+HOT_GRAM = 256
+SEEDS = 2
+
+
+def _unpack(table: pa.Table):
+    """Text ids, bounds of each text's postings, and all gram ids and weights one after the other."""
+    ids, w = (table.column(c).combine_chunks() for c in ("ids", "ws"))
+    bounds = np.concatenate(([0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))))
+    return table.column("text").to_numpy(), bounds, ids.flatten().to_numpy(), w.flatten().to_numpy()
+
+
+def _cell_search(least: float, k: int | None, hot: int, seeds: int):
+    """The search within a cell of the grid: of each left text the right texts with a product of
+    ``least`` or more (with 0: that share a gram), and with k only those that are not behind k others
+    by more than rounding (2 EPS)."""
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = ([], [], [])
+        if left.num_rows and right.num_rows:
+            ltexts, lbounds, lgrams, lw = _unpack(left)
+            rtexts, rbounds, rgrams, rw = _unpack(right)
+            grams, rgrams = np.unique(rgrams, return_inverse=True)
+            place = np.minimum(np.searchsorted(grams, lgrams), len(grams) - 1)
+            met = grams[place] == lgrams
+            by_gram = np.argsort(rgrams, kind="stable")
+            rows, weights = np.repeat(np.arange(len(rtexts)), np.diff(rbounds))[by_gram], rw[by_gram]
+            sizes = np.bincount(rgrams, minlength=len(grams))
+            starts = np.concatenate(([0], np.cumsum(sizes)))
+            rnorm = np.sqrt(np.add.reduceat(rw * rw, rbounds[:-1]))
+            vector, partial, seen = np.zeros(len(grams)), np.zeros(len(rtexts)), np.zeros(len(rtexts), np.int64)
+            top = rnorm.max()
+
+            def exact(r):
+                n = rbounds[r + 1] - rbounds[r]
+                ends = np.cumsum(n)
+                at = np.arange(ends[-1]) + np.repeat(rbounds[r] - (ends - n), n)
+                return np.add.reduceat(vector[rgrams[at]] * rw[at], ends - n)
+
+            def once(r):
+                seen[r] = np.arange(len(r))
+                return r[seen[r] == np.arange(len(r))]
+
+            for i in range(len(ltexts)):
+                own = slice(lbounds[i], lbounds[i + 1])
+                g, w = place[own][met[own]], lw[own][met[own]]
+                if not len(g):
+                    continue
+                order = np.argsort(sizes[g], kind="stable")
+                g, w = g[order], w[order]
+                vector[g] = w
+                rest = np.sqrt(np.cumsum((w * w)[::-1])[::-1])  # norm of a gram and those behind it
+                bound, lists, n, asked, more = least, [], 0, 0, 0.0
+                for j in range(len(g)):
+                    if k and sizes[g[j]] > hot and n >= max(k, 2 * asked):
+                        near, asked = once(np.concatenate(lists)), n
+                        if len(near) >= k:
+                            if len(near) > seeds * k:
+                                near = near[np.argpartition(partial[near], -seeds * k)[-seeds * k:]]
+                            bound = max(bound, np.partition(exact(near), -k)[-k] - 2 * EPS)
+                    if rest[j] * top < bound - EPS:
+                        more = rest[j]
+                        break
+                    part = slice(starts[g[j]], starts[g[j] + 1])
+                    lists.append(rows[part])
+                    partial[rows[part]] += w[j] * weights[part]
+                    n += len(lists[-1])
+                if lists:
+                    near = np.concatenate(lists)
+                    reach = lambda r: r[partial[r] + more * rnorm[r] >= bound - EPS]
+                    near = once(reach(near))
+                    if k and len(near) > seeds * k:
+                        best = near[np.argpartition(partial[near], -seeds * k)[-seeds * k:]]
+                        bound = max(bound, np.partition(exact(best), -k)[-k] - 2 * EPS)
+                        near = reach(near)
+                    if len(near):
+                        score = exact(near)
+                        if k and len(near) > k:
+                            bound = max(bound, np.partition(score, -k)[-k] - 2 * EPS)
+                        keep = score >= bound
+                        found[0].append(np.full(keep.sum(), ltexts[i]))
+                        found[1].append(rtexts[near[keep]])
+                        found[2].append(score[keep])
+                    for part in lists:
+                        partial[part] = 0.0
+                vector[g] = 0.0
+        join = lambda x, t: pa.array(np.concatenate(x) if x else np.empty(0), t)
+        return pa.table({"ltext": join(found[0], pa.int64()), "rtext": join(found[1], pa.int64()), "score": join(found[2], pa.float64())})
+
+    return search
+
+
+def _search(lpost: DataFrame, rpost: DataFrame, least: float, k: int | None, counts: tuple[int, int] | None) -> DataFrame:
+    """(ltext, rtext, score) of the grid's cells. ``counts``: postings of either side, if known."""
+    nl, nr = counts or (lpost.count(), rpost.count())
+    lparts, rparts = max(1, math.ceil(nl / LEFT_POSTINGS)), max(1, math.ceil(nr / RIGHT_POSTINGS))
+
+    def side(post, mine, parts, theirs, others):
+        rows = post.groupBy("text").agg(F.collect_list(F.struct("gid", "w")).alias("_v"))
+        return rows.select("text", F.col("_v.gid").alias("ids"), F.col("_v.w").alias("ws"), F.pmod(F.xxhash64("text"), F.lit(parts)).cast("int").alias(mine),
+                           F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(theirs))
+
+    l, r = side(lpost, "_a", lparts, "_b", rparts), side(rpost, "_b", rparts, "_a", lparts)
+    return l.groupBy("_a", "_b").cogroup(r.groupBy("_a", "_b")).applyInArrow(_cell_search(least, k, HOT_GRAM, SEEDS), "ltext long, rtext long, score double")
+
+
+def threshold_pairs(lpost: DataFrame, rpost: DataFrame, t: float, tolerance: float = EPS, best_only: bool = False,
+                    counts: tuple[int, int] | None = None) -> DataFrame:
     """All (ltext, rtext, score) with cosine >= t; of each left text at least its best ones if
     ``best_only``. Sums of squares are rounded, and by the order of summation: ``tolerance``
     below t still counts as reaching it."""
-    prefix = F.col("rest") * F.col("rest") + F.col("w") * F.col("w") >= F.lit(t * t - EPS)
-    met = _gram_join(lpost.where(prefix), rpost.where(prefix))
-    pairs = met.groupBy("ltext", "rtext").agg(
-        F.sum(F.col("wl") * F.col("wr")).alias("partial"), F.min(F.col("restl") * F.col("restr")).alias("more"), F.max("ord").alias("last"))
-    reach = F.col("partial") + F.col("more") + EPS
-    pairs = pairs.where(reach >= F.lit(t - tolerance))
-    if best_only:
-        pairs = cut_lineage(pairs)
-        top = pairs.groupBy("ltext").agg(F.max("partial").alias("_top"))
-        pairs = pairs.join(top, "ltext").where(reach >= F.col("_top")).drop("_top")
-    return _with_tails(pairs.drop("more"), lpost, rpost).where(F.col("score") >= F.lit(t - tolerance))
+    return _search(lpost, rpost, t - tolerance, 1 if best_only else None, counts)
 
 
 def tfidf_match(left: DataFrame, right: DataFrame, left_text: str, right_text: str,
@@ -141,8 +241,9 @@ def tfidf_match(left: DataFrame, right: DataFrame, left_text: str, right_text: s
     ``threshold`` (else NULL) and a 0/1 flag (score >= threshold, inclusive; a score within
     ``tolerance`` of it, as rounding may leave an exact tie, reaches it)."""
     docs = tfidf_docs(left, right, left_text, right_text)
-    lpost, rpost = tfidf_postings(docs)
-    pairs = threshold_pairs(lpost, rpost, threshold, tolerance, best_only=True)
+    dictionary = gram_dictionary(docs)
+    lpost, rpost = tfidf_postings(docs, dictionary=dictionary)
+    pairs = threshold_pairs(lpost, rpost, threshold, tolerance, best_only=True, counts=posting_counts(dictionary))
     best = pairs.groupBy("ltext").agg(F.max("score").alias(score_col))
     ldocs = docs.where(F.col("side") == "L").select(F.col("text").alias("_t"), F.col("tid").alias("ltext"))
     best = best.join(ldocs, "ltext").drop("ltext")
@@ -150,51 +251,19 @@ def tfidf_match(left: DataFrame, right: DataFrame, left_text: str, right_text: s
     return out.withColumn(flag_col, F.when(F.col(score_col) >= F.lit(threshold - tolerance), 1).otherwise(0))
 
 
-#: Postings that a left text looks at, for each of the k, to find its own threshold.
-SEEDS = 10
-
-
 def _least_scores(lpost: DataFrame, rpost: DataFrame, k: int, rmult: DataFrame) -> DataFrame:
-    """text, least: a score that k right rows reach for each left text; no row for a left text that
-    met fewer than k.
-
-    Of every gram the right texts of the greatest weights are looked at, and of a left text its
-    rarest grams until these are ``SEEDS`` * k: enough for a bound, however common the grams."""
-    limit = SEEDS * k
-    heavy = rpost.withColumn("_n", F.row_number().over(Window.partitionBy("gram").orderBy(F.desc("w"), "text"))).where(F.col("_n") <= limit)
-    count = heavy.groupBy("gram").agg(F.count(F.lit(1)).alias("_c"))
-    before = F.sum("_c").over(Window.partitionBy("text").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1))
-    few = lpost.join(count, "gram").withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < limit)
-    seeds = (few.select(F.col("text").alias("ltext"), "gram").join(heavy.select(F.col("text").alias("rtext"), "gram"), "gram")
-             .select("ltext", "rtext").distinct())
-    lfull = lpost.select(F.col("text").alias("ltext"), "gram", F.col("w").alias("wl"))
-    rfull = rpost.select(F.col("text").alias("rtext"), "gram", F.col("w").alias("wr"))
-    scored = seeds.join(lfull, "ltext").join(rfull, ["rtext", "gram"]).groupBy("ltext", "rtext").agg(F.sum(F.col("wl") * F.col("wr")).alias("score"))
-    scored = scored.join(rmult.select(F.col("text").alias("rtext"), "mult"), "rtext")
+    """text, least: the score that k right rows reach for each left text; no row for a left text that
+    shares grams with fewer than k."""
+    scored = top_k_texts(lpost, rpost, k).join(rmult.select(F.col("text").alias("rtext"), "mult"), "rtext")
     best = Window.partitionBy("ltext").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = scored.withColumn("_rows", F.sum(F.least(F.col("mult"), F.lit(k))).over(best))
     return rows.where(F.col("_rows") >= k).groupBy(F.col("ltext").alias("text")).agg(F.max("score").alias("least"))
 
 
-def top_k_texts(lpost: DataFrame, rpost: DataFrame, k: int, rmult: DataFrame | None = None) -> DataFrame:
-    """(ltext, rtext, score) of every left text: at least all right texts among its first ``k`` right
-    rows (``rmult``: text -> rows; 1 each when absent). A left text that shares grams with fewer
-    than k rows has all of these.
-
-    Each left text's threshold is its own (``_least_scores``), so the prefix is taken of the left
-    side only, and meets all postings of its grams."""
-    if rmult is None:
-        rmult = rpost.select("text").distinct().withColumn("mult", F.lit(1))
-    least = _least_scores(lpost, rpost, k, rmult)
-    own = lpost.join(least, "text", "left").withColumn("least", F.greatest(F.coalesce("least", F.lit(0.0)) - 2 * EPS, F.lit(0.0)))
-    own = cut_lineage(own.where(F.col("rest") * F.col("rest") + F.col("w") * F.col("w") >= F.col("least") * F.col("least") - EPS))
-    met = _gram_join(own, rpost)
-    # a right vector has no more behind than what its grams met so far leave of its norm
-    behind = F.least(F.min("restr"), F.sqrt(F.greatest(F.lit(0.0), 1 - F.sum(F.col("wr") * F.col("wr")))))
-    pairs = met.groupBy("ltext", "rtext").agg(
-        F.sum(F.col("wl") * F.col("wr")).alias("partial"), (F.min("restl") * behind).alias("more"), F.max("ord").alias("last"), F.first("least").alias("least"))
-    pairs = pairs.where(F.col("partial") + F.col("more") + EPS >= F.col("least"))
-    return _with_tails(pairs.select("ltext", "rtext", "partial", "last"), lpost, rpost)
+def top_k_texts(lpost: DataFrame, rpost: DataFrame, k: int, counts: tuple[int, int] | None = None) -> DataFrame:
+    """(ltext, rtext, score) of every left text: at least all right texts among its first ``k``, so all
+    that its first k right rows have. A left text that shares grams with fewer than k has all of these."""
+    return _search(lpost, rpost, 0.0, k, counts)
 
 
 def shortlist_rerank(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
@@ -207,9 +276,10 @@ def shortlist_rerank(left: DataFrame, right: DataFrame, left_id: str, right_id:
     ranked after rounding to ``score_digits`` digits, so that equal ones tie however summed.
     Output: left_id, rerank_score (best dense cosine), rerank_flag."""
     docs = tfidf_docs(left, right, left_text, right_text)
-    lpost, rpost = tfidf_postings(docs)
+    dictionary = gram_dictionary(docs)
+    lpost, rpost = tfidf_postings(docs, dictionary=dictionary)
     rdocs = docs.where(F.col("side") == "R")
-    text_pairs = top_k_texts(lpost, rpost, k, rdocs.select(F.col("tid").alias("text"), "mult"))
+    text_pairs = top_k_texts(lpost, rpost, k, posting_counts(dictionary))
     # texts that rows of strictly better texts leave room for, then at most k rows of each: a
     # right text can stand for many rows, of which only its k smallest ids can enter a top-k
     scored = (text_pairs.select("ltext", "rtext", F.round("score", score_digits).alias("_s"))

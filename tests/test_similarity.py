@@ -109,3 +109,29 @@ def test_each_left_text_has_a_threshold(spark, small):
     for r in S._least_scores(lpost, rpost, 3, mult).collect():
         third = sorted(_scores(left, right)[left.index(name[r.text])])[-3]
         assert 0 < r.least <= third + 1e-9
+
+
+@pytest.fixture()
+def cells(small, monkeypatch):
+    """A grid of many cells, and a dictionary that is joined by a shuffle."""
+    monkeypatch.setattr(S, "LEFT_POSTINGS", 60)
+    monkeypatch.setattr(S, "RIGHT_POSTINGS", 90)
+    monkeypatch.setattr(S, "SMALL_DICTIONARY", 0)
+
+
+def test_grid_of_cells_matches_the_best(spark, cells):
+    test_match_is_the_best(spark, None, "hot")
+
+
+def test_grid_of_cells_reranks_the_first_k(spark, cells):
+    test_rerank_takes_the_first_k(spark, None, "random", 10)
+
+
+def test_no_pair_is_shuffled_before_its_score_is_known(spark):
+    left, right = _texts("hot")
+    docs = S.tfidf_docs(spark.createDataFrame([(t,) for t in left], "text string"), spark.createDataFrame([(t,) for t in right], "text string"), "text", "text")
+    posts = S.tfidf_postings(docs)
+    for pairs in (S.threshold_pairs(*posts, 0.4, best_only=True), S.top_k_texts(*posts, 3)):
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(ltext" not in plan and "hashpartitioning(rtext" not in plan
+        assert "Generate explode" in plan  # postings come from the texts, not from a checkpoint of their own

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.operators import similarity as S
 
@@ -135,3 +136,48 @@ def test_no_pair_is_shuffled_before_its_score_is_known(spark):
         plan = pairs._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(ltext" not in plan and "hashpartitioning(rtext" not in plan
         assert "Generate explode" in plan  # postings come from the texts, not from a checkpoint of their own
+
+
+@pytest.mark.parametrize("numbers, side", [(12_000_000, 100_000), (40, 0)])
+def test_rerank_of_odd_vectors_and_ids(spark, small, monkeypatch, numbers, side):
+    """One cell and many: the rerank has the same bits as ``dense_cosine``, and NULL where that is NULL."""
+    monkeypatch.setattr(S, "CELL_NUMBERS", numbers)
+    monkeypatch.setattr(S, "SMALL_SIDE", side)
+    rng = random.Random(7)
+    vector = lambda n: [rng.uniform(-1, 1) for _ in range(n)]
+    odd = [None, [], [0.0] * 5, [None, 1.0, 1.0, 1.0, 1.0], [float("nan")] + vector(4), [float("inf")] + vector(4), vector(4)]
+    lrows = [(f"l{i}", "some name", vector(5)) for i in range(9)] + [(f"o{i}", "some name", v) for i, v in enumerate(odd)]
+    lrows += [("l0", "other words", vector(5)), (None, "some name", vector(5)), ("t", None, vector(5))]
+    rrows = [(i // 2, "some name" if i % 3 else "far", vector(5)) for i in range(8)] + [(20 + i, "a name", v) for i, v in enumerate(odd)]
+    rrows += [(None, "some name", vector(5)), (40, None, vector(5))]
+    ldf = spark.createDataFrame(lrows, "id string, text string, v array<float>")
+    rdf = spark.createDataFrame(rrows, "rid long, text string, rv array<float>")
+    got = S.shortlist_rerank(ldf, rdf, "id", "rid", "text", "text", "v", "rv", k=50, threshold=0.2)
+    pairs = ldf.where("text IS NOT NULL").select("id").join(ldf.select("id", "v"), "id").crossJoin(rdf.where("rid IS NOT NULL"))
+    best = pairs.groupBy("id").agg(F.max(S.dense_cosine("v", "rv")).alias("rerank_score"))
+    want = ldf.select("id").join(best, "id", "left").withColumn("rerank_flag", F.when(F.col("rerank_score") >= 0.2, 1).otherwise(0))
+    assert Counter(map(str, got.collect())) == Counter(map(str, want.select(got.columns).collect()))
+
+
+def test_rerank_shuffles_no_vector_for_each_pair(spark):
+    rng = random.Random(3)
+    left, right, size = 300, 60, 512
+    make = lambda n: spark.createDataFrame([(i, f"name {i % 20} of {i}", [rng.random() for _ in range(size)]) for i in range(n)], "id long, text string, v array<double>")
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {f.getName(): f.length() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_")}
+
+    ldf, rdf = make(left), make(right)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = shuffled()
+        out = S.shortlist_rerank(ldf, rdf, "id", "id", "text", "text", "v", "v", k=10)
+        assert out.count() == out.where("rerank_score IS NOT NULL").count() == left
+        out.write.format("noop").mode("overwrite").save()
+        written = sum(n for name, n in shuffled().items() if name not in before)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert written < 5 * (left + right) * size * 8  # a vector for each of ten pairs took twice as much
